@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, tokenfile
-from .common import documents
+from . import bpe, langid, linelog, ordinal, rules, tokenfile, urlfilter
+from .common import documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,10 +18,41 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digests(documents(spark, sf_dir), tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    out = rules.judge(docs, rules.fit(docs, labels(spark, sf_dir)))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    out = langid.predict(docs, langid.fit(docs))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "spoken.lang_pred", "spoken.score")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)
 
 
+URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, by = spark.read.parquet(f"{sf_dir}/pages.parquet"), urlfilter.Rules(URL_RULES)
+    return urlfilter.judge(pages, by, urlfilter.fit(pages, by)).drop("blocked")
+
+
+def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return ordinal.judge(docs, ordinal.fit(docs, labels(spark, sf_dir)))
+
+
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped and the digest of the text that stays (null where the text is)."""
+    out = linelog.clean(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
