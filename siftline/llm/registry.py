@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, linelog, ordinal, rules, tokenfile, urlfilter
+from . import bpe, langid, linelog, neardup, ordinal, rules, tokenfile, urlfilter
 from .common import documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digests(documents(spark, sf_dir), tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(documents(spark, sf_dir), percent=85, k=5)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     out = rules.judge(docs, rules.fit(docs, labels(spark, sf_dir)))
