@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -78,16 +77,3 @@ def runs(words: np.ndarray, k: int) -> np.ndarray:
             h = (h ^ words[i : i + n]) * U64(0xD6E8FEB86659FD93)
             h ^= h >> U64(32)
     return mix(h)
-
-
-def by_bytes(texts: list, most: int) -> Iterator[tuple[int, int]]:
-    """Spans of texts of at most so many bytes, or of one text."""
-    at = held = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if held and held + n > most:
-            yield at, i
-            at, held = i, 0
-        held += n
-    if at < len(texts):
-        yield at, len(texts)

@@ -21,36 +21,42 @@ from .rules import let, words_of
 FIELD = "<*>"
 
 
-def masked(tokens: Column) -> Column:
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), FIELD).otherwise(t))
+def tokens_of(line: Column) -> Column:
+    """The tokens of a line, those with a digit as a variable field."""
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ \\t-\\r]*[0-9][^ \\t-\\r]*", FIELD)).otherwise(line)
+    return words_of(masked)
 
 
 def lines_of(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """doc_id, line_no, leaf, own (a hash of all masked tokens) and tokens of each line of at least min_tokens."""
+    """doc_id, line_no, leaf and own (a hash of all tokens) of each line of at least min_tokens."""
     lines = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.select("doc_id", "line_no", masked(words_of(F.col("line"))).alias("tokens")).where(F.size("tokens") >= min_tokens)
-    return lines.select("doc_id", "line_no", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("tokens").alias("own"), "tokens")
+    told = let(tokens_of(F.col("line")), lambda t: F.struct(F.size(t).alias("size"), F.xxhash64(F.size(t), F.slice(t, 1, depth)).alias("leaf"), F.xxhash64(t).alias("own")))
+    return lines.select("doc_id", "line_no", told.alias("x")).where(F.col("x.size") >= min_tokens).select("doc_id", "line_no", "x.leaf", "x.own")
 
 
 def dropped(docs: DataFrame, min_docs: int = 3, min_tokens: int = 5, depth: int = 4, constant: float = 0.9, similar: float = 0.6) -> DataFrame:
     """doc_id and lost, the numbers (from 0) of its lines that recur in an earlier document; none for other documents."""
-    lines = lines_of(docs, depth, min_tokens)
+    lines = cut(lines_of(docs, depth, min_tokens))
     full = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf")
     some = cut(lines.join(full, "leaf"))
-    own = some.groupBy("leaf", "own", "doc_id").agg(F.min("tokens").alias("tokens"))
-    own = own.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("docs"), F.min("tokens").alias("tokens"))
-    own = cut(own)
-    # A leaf with one template only has nothing to generalise.
-    mixed = own.groupBy("leaf").agg(F.count(F.lit(1)).alias("k"), F.sum("docs").alias("of")).where("k > 1")
-    at = own.join(mixed, "leaf").select("leaf", "own", "of", "docs", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token"))
+    own = some.groupBy("leaf", "own", "doc_id").agg(F.min("line_no").alias("line_no"))
+    own = cut(own.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "line_no")).alias("at")))
+    # A leaf with one template only has nothing to generalise; for the others, one line of each template is looked up.
+    mixed = own.groupBy("leaf").agg(F.count(F.lit(1)).alias("k"), F.sum("docs").alias("of")).where("k > 1").select("leaf", "of")
+    wanted = own.join(mixed, "leaf").select(F.col("at.doc_id").alias("doc_id"), F.struct(F.col("at.line_no").alias("line_no"), "leaf", "own", "docs", "of").alias("x"))
+    wanted = wanted.groupBy("doc_id").agg(F.collect_list("x").alias("xs"))
+    # Rows that share a doc_id may differ in text: the hash tells which one was meant.
+    text = docs.select("doc_id", "text").join(wanted, "doc_id").select(F.inline(let(F.split("text", "\n"), lambda s: F.transform("xs", lambda x: F.struct(x["leaf"].alias("leaf"), x["own"].alias("own"), x["docs"].alias("docs"), x["of"].alias("of"), F.get(s, x["line_no"]).alias("line"))))))
+    text = text.where("line IS NOT NULL").select("leaf", "own", "docs", "of", tokens_of(F.col("line")).alias("tokens")).where(F.xxhash64("tokens") == F.col("own")).dropDuplicates(["leaf", "own"])
+    at = cut(text.select("leaf", "own", "of", "docs", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token")))
     common = at.groupBy("leaf", "pos", "size", "of", "token").agg(F.sum("docs").alias("docs"))
     common = common.groupBy("leaf", "pos", "size", "of").agg(F.max(F.struct("docs", "token")).alias("top"))
-    fixed = common.where(F.col("top.docs") >= constant * F.col("of")).select("leaf", "pos", F.col("top.token").alias("token"), "size")
+    fixed = cut(common.where(F.col("top.docs") >= constant * F.col("of")).select("leaf", "pos", F.col("top.token").alias("token"), "size"))
     valid = fixed.groupBy("leaf", "size").agg(F.count(F.lit(1)).alias("fixed")).where(F.col("fixed") >= similar * F.col("size")).select("leaf", "fixed")
     agree = at.select("leaf", "own", "pos", "token").join(fixed.select("leaf", "pos", "token"), ["leaf", "pos", "token"]).groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("same"))
     general = cut(agree.join(valid, "leaf").where("same = fixed").select("leaf", "own", F.lit(True).alias("general")))
     # The template's key: the leaf where the line fits what the leaf has in common, else the line's own.
-    keyed = some.select("doc_id", "line_no", "leaf", "own").join(general, ["leaf", "own"], "left").select("doc_id", "line_no", F.when(F.col("general"), F.xxhash64("leaf", F.lit(FIELD))).otherwise(F.col("own")).alias("key"))
+    keyed = some.join(general, ["leaf", "own"], "left").select("doc_id", "line_no", F.when(F.col("general"), F.xxhash64("leaf", F.lit(FIELD))).otherwise(F.col("own")).alias("key"))
     often = keyed.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first")).where(F.col("docs") >= min_docs)
     gone = keyed.join(often.select("key", "first"), "key").where("doc_id > first")
     return gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("lost"))

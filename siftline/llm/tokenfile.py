@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import by_bytes, cut, remove, scratch
+from .common import cut, remove, scratch
 
 SKIP, TABLE, MAGIC = 0x184D2A50, 0x184D2A5E, b"\xb1\xea\x92\x8f"
 #: Bytes of ids in a frame, and compressed bytes in a file, beyond which a new one begins.
@@ -121,11 +122,19 @@ class Reader:
             del held[: 4 * n]
 
 
+def byte_letters() -> dict[int, int]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(rest)}
+
+
 class Fast:
     """The tokenizers library behind a bounded memory of chunks.
 
-    A text of common characters is cut where the tokenizer's own pattern always cuts, before a letter run and after it;
-    chunks not seen lately are encoded together by the library. Other texts go to the library whole.
+    A text of common characters is cut where the tokenizer's own pattern always cuts, before a letter run and after it.
+    A letter run, one match of the pattern, goes straight to the library's merges; what is between goes through the
+    whole tokenizer, and so do other texts.
     """
 
     def __init__(self, path: str):
@@ -136,27 +145,35 @@ class Fast:
 
         self.own = Tokenizer.from_file(path)
         self.own.encode_special_tokens = True
+        self.merges = self.own.model.tokenize
+        self.letters = byte_letters()
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = {i: PLAIN_CHUNK.findall(t) for i, t in enumerate(texts) if bpe.PLAIN.match(t)}
-        distinct = set().union(*chunks.values())
-        if len(self.new) + len(distinct) > bpe.KEPT // 2:
-            self.old, self.new = self.new, {}
-        missing = [c for c in distinct if c not in self.new]
-        self.new.update((c, self.old[c]) for c in missing if c in self.old)
-        missing = [c for c in missing if c not in self.new]
-        self.new.update(zip(missing, self.whole(missing), strict=True))
-        get = self.new.__getitem__
-        rest = [i for i in range(len(texts)) if i not in chunks]
-        out = dict(zip(rest, self.whole([texts[i] for i in rest]), strict=True))
-        for i, cs in chunks.items():
-            out[i] = b"".join(map(get, cs))
-        return [out[i] for i in range(len(texts))]
+    def whole(self, text: str) -> bytes:
+        return array("I", self.own.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def chunk(self, c: str) -> bytes:
+        if (ids := self.old.get(c)) is None:
+            if c[-1].isalpha():
+                ids = array("I", [t.id for t in self.merges(c.encode().decode("latin-1").translate(self.letters))]).tobytes()
+            else:
+                ids = self.whole(c)
+        if len(c) <= 64:
+            if len(self.new) >= bpe.KEPT // 2:
+                self.old, self.new = self.new, {}
+            self.new[c] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        if not bpe.PLAIN.match(text):
+            return self.whole(text)
+        chunks = PLAIN_CHUNK.findall(text)
+        found = list(map(self.new.get, chunks))
+        if None in found:
+            found = [self.new.get(c) or self.chunk(c) if f is None else f for c, f in zip(chunks, found, strict=True)]
+        return b"".join(found)
 
 
 _fast: dict[str, Fast] = {}
@@ -181,10 +198,8 @@ def write_tokens(df: DataFrame, path: str, to: str, end_id: int | None = 0, part
         coder, w = fast(bpe.place(path)), Writer()
         out = lambda: pa.RecordBatch.from_arrays([pa.array([w.close()[:-4]], pa.binary())], ["value"])
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in by_bytes(texts, 1 << 21):
-                for d, ids in zip(docs[a:b], coder.encode(texts[a:b]), strict=True):
-                    w.add(d, ids + end)
+            for d, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                w.add(d, coder.encode(text.as_py() or "") + end)
                 if w.size >= FILE:
                     yield out()
                     w = Writer()
