@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
@@ -60,10 +60,67 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of each word; words are what stands between bytes 0x20 and 0x09 to 0x0D."""
-    words = data.split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
+#: Bytes inside words where words are what stands between bytes 0x20 and 0x09 to 0x0D.
+INSIDE = np.ones(256, bool)
+INSIDE[[0x20, *range(0x09, 0x0E)]] = False
+LOW_BYTES = np.array([U64((1 << 8 * n) - 1) for n in range(8)] + [U64(2**64 - 1)], U64)
+
+
+class Words:
+    """The words of many texts at once: hashes, where they stand in `data`, and the first word of each text in `first`.
+
+    first has one entry more than there are texts. No word spans two texts. `fold` maps bytes beforehand.
+    """
+
+    def __init__(self, texts: list[bytes], inside: np.ndarray = INSIDE, fold: np.ndarray | None = None):
+        self.data = b" ".join(texts)
+        n = len(self.data)
+        raw = np.zeros(n + 9, np.uint8)
+        raw[:n] = np.frombuffer(self.data, np.uint8)
+        if fold is not None:
+            raw[:n] = fold[raw[:n]]
+        on = np.zeros(n + 2, bool)
+        on[1:-1] = inside[raw[:n]]
+        at = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        edges = np.flatnonzero(on[1:] != on[:-1])
+        self.start, self.end = edges[::2], edges[1::2]
+        self.first = np.searchsorted(self.start, at)
+        self.hash = self._hashes(raw)
+
+    def _hashes(self, raw: np.ndarray) -> np.ndarray:
+        eight = np.ndarray((len(raw) - 8,), "<u8", raw.data, 0, (1,))
+        left = self.end - self.start
+        with np.errstate(over="ignore"):
+            h = left.astype(U64) * GOLDEN
+            h = (h ^ (eight[self.start] & LOW_BYTES[np.minimum(left, 8)])) * U64(0xD6E8FEB86659FD93)
+            at, done = np.flatnonzero(left > 8), 8
+            while len(at):
+                x = h[at]
+                x ^= x >> U64(32)
+                h[at] = (x ^ (eight[self.start[at] + done] & LOW_BYTES[np.minimum(left[at] - done, 8)])) * U64(0xD6E8FEB86659FD93)
+                done += 8
+                at = at[left[at] > done]
+        return mix(h)
+
+    def text_of(self, at: np.ndarray) -> np.ndarray:
+        """The number of the text in which each of these words stands."""
+        return np.searchsorted(self.first, at, "right") - 1
+
+
+def utf8(texts: pa.Array) -> list[bytes]:
+    """Texts as bytes; null counts as empty."""
+    return [t or b"" for t in texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()).to_pylist()]
+
+
+def parts(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Ranges of items, each of which ends where it has reached `most` together."""
+    out, at, held = [], 0, 0
+    for i, n in enumerate(sizes):
+        held += n
+        if held >= most or i + 1 == len(sizes):
+            out.append((at, i + 1))
+            at, held = i + 1, 0
+    return out
 
 
 def runs(words: np.ndarray, k: int) -> np.ndarray:

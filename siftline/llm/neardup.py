@@ -23,18 +23,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, U64, cut, mix, runs, word_hashes
+from .common import GOLDEN, U64, Words, cut, mix, parts, runs, utf8
 from .components import roots
 
 M, ROWS, BASE, SHIFT = 128, 4, 1.001, 4096
 #: Members of a bucket that are compared in one block.
 BLOCK = 1024
+#: Bytes of text that are hashed at a time.
+PART = 1 << 21
 
 
-def shingles(text: str | None, k: int) -> np.ndarray:
-    """The sorted distinct hashes of k consecutive words, A-Z lower-cased; of all words if they are fewer."""
-    words = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
-    return np.unique(runs(words, min(k, len(words)))) if len(words) else words
+def shingles(texts: list[bytes], k: int) -> list[np.ndarray]:
+    """Of each text the sorted distinct hashes of k consecutive words, A-Z lower-cased; of all words if they are fewer."""
+    w = Words([t.lower() for t in texts])
+    grams, out = runs(w.hash, k), []
+    for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+        out.append(np.unique(grams[a : b - k + 1]) if b - a >= k else runs(w.hash[a:b], b - a) if b > a else np.empty(0, U64))
+    return out
 
 
 def sketch(sets: list[np.ndarray]) -> np.ndarray:
@@ -94,18 +99,15 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, held, size, first = batch.column(0), [], 0, 0
-            for i in range(len(ids)):
-                held.append(shingles(batch.column(1)[i].as_py(), k))
-                size += len(held[-1])
-                if size > 1 << 18 or i + 1 == len(ids):
-                    with np.errstate(over="ignore"):
-                        sums = [(int(np.sum(mix(s), dtype=U64)), int(np.sum(mix(s ^ GOLDEN), dtype=U64))) for s in held]
-                    s1, s2 = np.array(sums, U64).reshape(-1, 2).T.astype(np.int64)
-                    n = np.array([len(s) for s in held], np.int64)
-                    regs = pa.array([r.tobytes() if len(s) else None for r, s in zip(sketch(held), held, strict=True)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([ids[first : i + 1], pa.array(n), pa.array(s1), pa.array(s2), regs], ["doc_id", "n", "s1", "s2", "regs"])
-                    held, size, first = [], 0, i + 1
+            texts = utf8(batch.column(1))
+            for a, b in parts([len(t) for t in texts], PART):
+                held = shingles(texts[a:b], k)
+                with np.errstate(over="ignore"):
+                    sums = [(int(np.sum(mix(s), dtype=U64)), int(np.sum(mix(s ^ GOLDEN), dtype=U64))) for s in held]
+                s1, s2 = np.array(sums, U64).reshape(-1, 2).T.astype(np.int64)
+                n = np.array([len(s) for s in held], np.int64)
+                regs = pa.array([r.tobytes() if len(s) else None for r, s in zip(sketch(held), held, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(n), pa.array(s1), pa.array(s2), regs], ["doc_id", "n", "s1", "s2", "regs"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(each, "doc_id long, n long, s1 long, s2 long, regs binary")
 
@@ -203,8 +205,10 @@ def set_table(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingles(t.as_py(), k).astype(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], ["id", "elements"])
+            texts = utf8(batch.column(1))
+            for a, b in parts([len(t) for t in texts], PART):
+                own = [s.view(np.int64) for s in shingles(texts[a:b], k)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(own, pa.list_(pa.int64()))], ["id", "elements"])
 
     some = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
     return some.mapInArrow(each, "id long, elements array<long>")
