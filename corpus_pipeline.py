@@ -4,11 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siftline.llm import bpe, decontam, langid, linelog, neardup
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+#: Documents whose language is less likely than this are rejected.
+LEAST_LANGUAGE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without a letter or without text go."""
+    into = "_".join(["spoken", *docs.columns])
+    own = langid.predict(docs, langid.fit(docs), into)
+    return own.where((F.col(into)["lang_pred"] != langid.UNKNOWN) & (F.col(into)["score"] >= LEAST_LANGUAGE)).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines of templates that recur in earlier documents; n_chars follows the text."""
+    own = linelog.clean(docs)
+    new = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return own.withColumns(new).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of the smallest doc_id."""
+    gone = neardup.groups(docs, percent=80, k=5).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, token_ids and lossless (whether the ids decode to the text; a null text counts as empty)."""
+    return bpe.round_trip(docs, tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_free", benchmark_free),
+    ("token_ids", token_ids),
+]
 
 #: The models and the components of the stages can't be told in SQL.
 ORACLE_SQL = None

@@ -182,3 +182,25 @@ def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(told), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return df.select("doc_id", "text").mapInArrow(each, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, token_ids and lossless (the ids decode to the text's bytes), a row for each of df's.
+
+    A null text counts as empty.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(place(path), pattern)
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                ids = [c.encode(t) for t in texts]
+                same = [c.decode(i) == t.encode("utf-8", "surrogatepass") for i, t in zip(ids, texts, strict=True)]
+                flat = np.concatenate([*ids, np.empty(0, "<u4")]).astype(np.int32)
+                bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(bounds), pa.int64()), lists, pa.array(same)], ["doc_id", "n_tokens", "token_ids", "lossless"])
+
+    return df.select("doc_id", "text").mapInArrow(each, "doc_id long, n_tokens long, token_ids array<int>, lossless boolean")
