@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Charsets that are tried in this order after UTF-8 and the declared one.
 FALLBACKS = ["windows-1258", "cp1252", "iso-8859-1"]
@@ -22,7 +23,7 @@ def decoded(raw: bytes, declared: str | None) -> str:
     return raw.decode("utf-8", "replace")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _decoded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for raw, declared in batches:
         yield pa.array([None if r is None else decoded(r, d) for r, d in zip(raw.to_pylist(), declared.to_pylist(), strict=True)], pa.string())

@@ -14,6 +14,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .strings import clean_text, collapse_whitespace, fix_mojibake, let, strip
 from .urls import link_domains
@@ -23,7 +24,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 TAG = re.compile(r"<[^>]+>")
 
-PARSED = "words int, title string, description string, forms int, password boolean, hrefs array<string>, text string, error string"
+PARSED = {"words": T.IntegerType(), "title": T.StringType(), "description": T.StringType(), "forms": T.IntegerType(), "password": T.BooleanType(), "hrefs": T.ArrayType(T.StringType()), "text": T.StringType(), "error": T.StringType()}
 
 
 class Page(HTMLParser):
@@ -98,14 +99,13 @@ def parse(html: str) -> tuple:
     return words, title, page.description, page.forms, page.password, page.hrefs, "\n".join(page.read), None
 
 
-@F.arrow_udf(PARSED)
+@F.arrow_udf(T.StructType([T.StructField(k, t) for k, t in PARSED.items()]))
 def parsed(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
     kinds = [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.list_(pa.string()), pa.string(), pa.string()]
-    names = [x.split()[0] for x in PARSED.split(", ")]
     for batch in pages:
         rows = [parse(x) if x else (0, None, None, 0, False, [], None, "no html content") for x in batch.to_pylist()]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
-        yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+        yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], list(PARSED))
 
 
 def page_text(url: Column, html: Column, links: int = 50) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .strings import collapse_whitespace
+from .strings import collapse_whitespace, unescape
 from .urls import domain_only
 from .values import ALLOWED_LINK, DENIED_TEXT, EMBEDDED_PAIR, SCAM_ITEM, TRUSTED_ITEM, TRUSTED_LINK
 
@@ -39,7 +39,7 @@ def page_count(html: Column, most: int | None = None) -> Column:
 
 def title(html: Column) -> Column:
     found = F.regexp_extract_all(html, F.lit("(?is)<title[^>]*>(.*?)</title>"), F.lit(1))
-    return collapse_whitespace(F.get(found, F.lit(0)))
+    return collapse_whitespace(unescape(F.get(found, F.lit(0))))
 
 
 def forms_count(html: Column) -> Column:

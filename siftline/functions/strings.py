@@ -28,6 +28,13 @@ def collapse_whitespace(c: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(c, "[\\r\\n]+", " "), " {2,}", " "))
 
 
+def unescape(c: Column) -> Column:
+    """The common named entities as characters."""
+    for name, char in (("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
+    return c
+
+
 def squash(c: Column) -> Column:
     """Lower-cased, with nothing left but a-z and 0-9."""
     return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")

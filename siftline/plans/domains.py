@@ -25,17 +25,22 @@ FROM {{pages}} CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (
 SCHEME = "^[a-z][a-z0-9+.-]*:"
 
 
-def sql_bare(v: str, source: str, keep: str) -> str:
-    """CTEs: source's column v to the bare domain d."""
+def sql_bare(v: str, source: str, keep: str, p: str = "") -> str:
+    """CTEs: source's column v to the bare domain d, in {p}bare; p goes before all their names."""
     return f"""
-a AS (SELECT {keep}, lower(trim({v})) AS v0 FROM {source}),
-b AS (SELECT {keep}, CASE WHEN contains(v0, '://') THEN v0 ELSE 'http://' || v0 END AS v1 FROM a),
-c AS (SELECT {keep}, CASE WHEN regexp_matches(v1, '{SCHEME}//') THEN regexp_extract(v1, '{SCHEME}//([^/?#]*)', 1)
-  ELSE regexp_extract(regexp_replace(v1, '{SCHEME}', ''), '^([^/?#]*)', 1) END AS h FROM b),
-e AS (SELECT {keep}, split_part(string_split(h, '@')[-1], ':', 1) AS h FROM c),
-bare AS (SELECT {keep}, regexp_replace(regexp_replace(regexp_replace(h, '^[.]+', ''), '[.]+$', ''), '^www[.]', '') AS d FROM e)"""
-
-
+{p}a AS (SELECT {keep}, lower(trim({v})) AS v0 FROM {source}),
+{p}b AS (SELECT {keep}, CASE WHEN contains(v0, '://') THEN v0 ELSE 'http://' || v0 END AS v1 FROM {p}a),
+{p}c AS (SELECT {keep}, CASE WHEN regexp_matches(v1, '{SCHEME}//') THEN regexp_extract(v1, '{SCHEME}//([^/?#]*)', 1)
+  ELSE regexp_extract(regexp_replace(v1, '{SCHEME}', ''), '^([^/?#]*)', 1) END AS h FROM {p}b),
+{p}e AS (SELECT {keep}, split_part(string_split(h, '@')[-1], ':', 1) AS h FROM {p}c),
+{p}bare AS (SELECT {keep}, regexp_replace(regexp_replace(regexp_replace(h, '^[.]+', ''), '[.]+$', ''), '^www[.]', '') AS d FROM {p}e)"""
+
+
+#: The title of html, blanks collapsed and entities as characters.
+TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+for _name, _char in (("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+    TITLE = f"replace({TITLE}, '&{_name};', '{_char}')"
+TITLE = f"trim(regexp_replace(regexp_replace({TITLE}, '[\\r\\n]+', ' ', 'g'), ' {{2,}}', ' ', 'g'))"
 VALID = "CASE WHEN regexp_matches(d, '^[a-z0-9.-]+$') AND contains(d, '.') THEN d ELSE '' END"
 
 
@@ -117,7 +122,7 @@ def record_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {sql_bare('url', 'pages', 'page_id, url, html')},
 f AS (SELECT page_id, url AS v, d, html FROM bare)
 SELECT {RECORD_ID.replace('label', '(-1)')} AS record_id, {URL_FEATURES},
-trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[\\r\\n]+', ' ', 'g'), ' {{2,}}', ' ', 'g')) AS title,
+{TITLE} AS title,
 length(html) AS html_length, length(regexp_extract_all(html, '(?i)<form\\b')) AS forms_count FROM f""")
 def page_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: a feature row for each page, in one pass without a shuffle."""

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.strings import strip
 from ..functions.urls import normalize_domain, normalize_url
@@ -85,7 +86,7 @@ def ranked_records(rows: DataFrame, rank: str = "rank", value: str = "value") ->
     return own.where("domain != ''")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def first_csv(archives: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The text of a zip archive's first member that ends in .csv."""
     for batch in archives:

@@ -45,4 +45,4 @@ def test_like_sql(spark, duck, name):
     diff = [(a, b) for a, b in zip(got, want) if a != b]  # noqa: B905
     assert len(got) == len(want) and not diff, (len(got), len(want), diff[:3])
     for i, c in enumerate(order):
-        assert len({r[i] for r in want}) > 1 or len(want) < 3 or c in ("label", "observed_at", "source") or any(r[i] is not None for r in want), c
+        assert len({r[i] for r in want}) > 1 or len(want) < 3 or c in ("label", "observed_at", "source", "verification_time") or any(r[i] is not None for r in want), c
