@@ -12,8 +12,8 @@
    that is smaller than the passage's own, the window is a repeat.
 5. The spans of repeated windows meet their documents.
 
-Entries travel packed, many in a row, in buckets of which there are several times as many as shuffle partitions; a task
-holds one bucket at a time. A text moves twice, passages once. Nothing is cut off or sampled: a window is found wherever
+Entries travel packed, many in a row, in buckets of which there are as many as shuffle partitions: a bucket
+is what a task holds at a time. A text moves twice, passages once. Nothing is cut off or sampled: a window is found wherever
 it stands, and hashes only tell which windows to compare (64 bits of each word, all words of each window).
 """
 
@@ -35,8 +35,6 @@ from .fmindex import Index
 GRAM = 5
 #: Bytes of text that a task takes at a time.
 PART = 1 << 23
-#: Buckets for each shuffle partition.
-BUCKETS = 4
 
 ROWS = "bucket int, aim int, doc_id long, version long, text string, packed binary"
 
@@ -352,13 +350,12 @@ def add_spans(docs: DataFrame, finish: Callable, schema: str, k: int = 13) -> Da
     neither lose words nor make others lose some. Rows that share a doc_id are one document. Further columns of docs are
     ignored.
     """
-    shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = BUCKETS * shuffle
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col("doc_id").cast("long"), "text")
     named = own.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
     def meet(rows: DataFrame, *by: F.Column | str) -> DataFrame:
-        return rows.repartition(shuffle, "bucket").sortWithinPartitions("bucket", *by)
+        return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", *by)
 
     def joined(rows: DataFrame, texts: DataFrame) -> DataFrame:
         texts = texts.select(F.coalesce(bucketed(F.col("doc_id"), buckets), F.lit(0)).alias("bucket"), F.lit(None).cast("int").alias("aim"), "doc_id", F.xxhash64("text").alias("version"), "text", F.lit(None).cast("binary").alias("packed"))
