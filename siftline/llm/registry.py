@@ -69,5 +69,29 @@ def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
+WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP2 = f"""WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s FROM (SELECT doc_id, ws, unnest(generate_series(1, length(ws) - 4)) AS i FROM w WHERE length(ws) >= 5)
+ UNION SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE length(ws) BETWEEN 1 AND 4),
+n AS (SELECT w.doc_id, count(s) AS n FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
+m AS (SELECT node, min(root) AS component_id FROM r GROUP BY 1)
+SELECT n.doc_id, n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN m ON n.doc_id = m.node"""
+
+OP6 = f"""WITH w AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS s FROM (SELECT doc_id, ws, unnest(generate_series(1, length(ws) - 12)) AS i FROM w WHERE length(ws) >= 13)),
+m AS (SELECT s, min(doc_id) AS first FROM g GROUP BY 1),
+h AS (SELECT DISTINCT doc_id, i + k AS j FROM (SELECT g.doc_id, g.i, unnest(generate_series(0, 12)) AS k FROM g JOIN m ON g.s = m.s WHERE first < g.doc_id)),
+v AS (SELECT w.doc_id, length(ws) AS n, unnest(generate_series(1, length(ws))) AS j, unnest(ws) AS word FROM w),
+k AS (SELECT v.doc_id, sum(CASE WHEN h.j IS NULL THEN 0 ELSE 1 END)::BIGINT AS lost, string_agg(word, ' ' ORDER BY v.j) FILTER (h.j IS NULL) AS kept FROM v LEFT JOIN h ON v.doc_id = h.doc_id AND v.j = h.j GROUP BY 1)
+SELECT w.doc_id, length(ws) AS n_words, coalesce(lost, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k ON w.doc_id = k.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The models, tokenizers and alignments can't be told in SQL; tests hold those against brute force."""
+    return {"op2_near_duplicates": OP2, "op6_substring_dedup": OP6}

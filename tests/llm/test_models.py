@@ -149,3 +149,16 @@ def test_held_out_languages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = registry.op4_language(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.95
+
+
+@tables
+@pytest.mark.parametrize("name", registry.oracle_sql())
+def test_like_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    cur = c.execute(registry.oracle_sql()[name])
+    names = [d[0] for d in cur.description]
+    df = registry.queries()[name](spark, SF)
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(cur.fetchall()) == sorted(tuple(r) for r in df.select(names).collect())
