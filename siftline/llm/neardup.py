@@ -9,7 +9,8 @@
    registers are greater, less and equal. Each class is verified on full sets against its likeliest centre, and what
    holds together so far gets one component.
 5. Only buckets with several components are looked at again, in blocks: pairs across components whose estimate comes
-   near the threshold are verified on full sets. Pairs within a component can't change the result.
+   near the threshold are compared by their sets' least elements, which for small sets are all, and those that still may
+   be linked are verified on full sets. Pairs within a component can't change the result.
 
 So a group of copies costs what its members cost, not what its pairs do, unless they fall apart into components.
 """
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ from .components import roots
 M, ROWS, BASE, SHIFT = 128, 4, 1.001, 4096
 #: Members of a bucket that are compared in one block.
 BLOCK = 1024
+#: Elements of a set by which pairs of a block are compared.
+FINE = 512
 #: Bytes of text that are hashed at a time.
 PART = 1 << 21
 
@@ -143,32 +147,66 @@ def estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(each, "a long, b long, estimate double")
 
 
+def fine(sets: DataFrame) -> DataFrame:
+    """id and least: the upper halves of the FINE least elements of each set, and whether those are all."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(x.values.buffers()[1], "<u8", len(x.values), 8 * x.values.offset)[:FINE] >> U64(32) for x in batch.column(1)]
+            whole = pa.compute.less_equal(pa.compute.list_value_length(batch.column(1)), FINE)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype("<u4").tobytes() for x in own], pa.binary()), whole], ["id", "least", "whole"])
+
+    return sets.mapInArrow(each, "id long, least binary, whole boolean")
+
+
+def close(p: np.ndarray, p_whole: bool, others: list[bytes], whole: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the others may be linked with p: similar enough among the elements up to the least bound of the two.
+
+    For whole sets that is their similarity; for others the pairs at the threshold fall short once in 30,000 times.
+    """
+    top = 1 << 32
+    flat, size = np.frombuffer(b"".join(others), "<u4").astype(np.int64), np.array([len(x) // 4 for x in others])
+    row = np.repeat(np.arange(len(others)), size)
+    ends = np.cumsum(size) - 1
+    bound = np.minimum(np.where(whole, top, flat[ends]), top if p_whole else int(p[-1]))
+    inside = flat <= bound[row]
+    at = np.minimum(np.searchsorted(p, flat), len(p) - 1)
+    common = np.bincount(row[inside & (p[at] == flat)], minlength=len(others))
+    union = np.bincount(row[inside], minlength=len(others)) + np.searchsorted(p, bound, "right") - common
+    slack = np.where(whole & p_whole, 1e-9, 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(union, 1)))
+    return common >= (threshold - slack) * union
+
+
 def across(mixed: DataFrame, threshold: float) -> DataFrame:
-    """a and b of different components in a bucket whose estimate may belong to a link.
+    """a and b of different components in a bucket whose estimates may belong to a link.
 
-    mixed has key, i, j (the block), band, mine (whether the member is of block i), id, comp, n and regs. Blocks come
-    sorted, so that a task holds one at a time. A pair that meets in an earlier band too is left to that.
+    mixed has key, i, j (the block), band, mine (whether the member is of block i), id, comp, main (the component of the
+    bucket's centre), n, regs, least and whole. Blocks come sorted, so that a task holds one at a time. A pair that meets
+    in an earlier band too is left to that. Each pair has a member outside the main component, so the others needn't
+    look for theirs.
     """
     least = margin(threshold)
 
     def block(x: dict[str, list]) -> tuple[np.ndarray, np.ndarray]:
         ids, comp, n = (np.array(x[c], np.int64) for c in ("id", "comp", "n"))
         regs = np.frombuffer(b"".join(x["regs"]), "<u2").reshape(-1, M)
-        band, mine = x["band"][0], np.array(x["mine"])
-        alone = x["i"][0] == x["j"][0]
-        # How many equal registers the least estimate can have; the likelihood then decides.
+        whole, some = np.array(x["whole"]), x["least"]
+        band, mine, main = x["band"][0], np.array(x["mine"]), x["main"][0]
+        alone, every = x["i"][0] == x["j"][0], np.arange(len(ids))
         out_a, out_b = [], []
-        for p in np.flatnonzero(mine):
-            q = np.flatnonzero((comp != comp[p]) & ((np.arange(len(ids)) > p) if alone else ~mine))
-            q = q[(n[q] >= threshold * n[p]) & (n[p] >= threshold * n[q])]
-            if not len(q):
-                continue
-            equal = regs[q] == regs[p]
-            first = ~equal.reshape(len(q), -1, ROWS)[:, :band].all(axis=2).any(axis=1)
-            ok = first & (equal.sum(axis=1) >= (least - 0.1) * M)
-            q = q[ok]
+        for p in np.flatnonzero(comp != main):
+            equal = regs == regs[p]
+            # How many equal registers the least estimate can have; the likelihood then decides, then the elements.
+            ok = (np.count_nonzero(equal, axis=1) >= (least - 0.1) * M) & (comp != comp[p]) & (n >= threshold * n[p]) & (n[p] >= threshold * n)
+            # A pair of two such members of one side counts from the later; across sides it counts from `mine`.
+            ok &= (comp == main) | (every < p) if alone else (mine != mine[p]) & ((comp == main) | mine[p])
+            q = np.flatnonzero(ok)
+            if band and len(q):
+                q = q[~equal[q].reshape(len(q), -1, ROWS)[:, :band].all(axis=2).any(axis=1)]
             if len(q):
                 q = q[similarity(regs[q], np.broadcast_to(regs[p], (len(q), M)), n[q], np.full(len(q), n[p])) >= least]
+            if len(q):
+                q = q[close(np.frombuffer(some[p], "<u4").astype(np.int64), bool(whole[p]), [some[i] for i in q], whole[q], threshold)]
                 out_a.append(np.minimum(ids[q], ids[p]))
                 out_b.append(np.maximum(ids[q], ids[p]))
         return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.empty(0, np.int64), np.empty(0, np.int64))
@@ -245,13 +283,13 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     links = cut(verified(best, sets, percent))
     of = roots(links)
 
-    members = members.join(of.withColumnRenamed("node", "id"), "id", "left").select("key", "band", "id", "size", F.coalesce("root", "id").alias("comp"))
+    members = members.join(of.withColumnRenamed("node", "id"), "id", "left").select("key", "band", "id", "size", "centre", F.coalesce("root", "id").alias("comp"))
     members = cut(members)
-    torn = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    torn = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.when(F.col("id") == F.col("centre"), F.col("comp"))).alias("main")).where("x < y").select("key", "main")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mixed = members.join(torn, "key").join(reps.select("id", "n", "regs"), "id").withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int"))
+    mixed = members.join(torn, "key").join(reps.select("id", "n", "regs"), "id").join(fine(sets), "id").withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int"))
     mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    mixed = mixed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", (F.col("own") <= F.col("other")).alias("mine"), "id", "comp", "n", "regs")
+    mixed = mixed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", (F.col("own") <= F.col("other")).alias("mine"), "id", "comp", "main", "n", "regs", "least", "whole")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = across(mixed.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j"), threshold)
     rest = cut(found.join(best, ["a", "b"], "left_anti").distinct())
