@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of templates that recur in earlier documents; n_chars follows the text."""
-    own = linelog.clean(docs)
+    own = linelog.clean(docs, into=tuple("_".join([x, *docs.columns]) for x in ("n_lines", "n_dropped")))
     new = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return own.withColumns(new).select(*docs.columns)
 

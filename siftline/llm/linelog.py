@@ -62,16 +62,16 @@ def dropped(docs: DataFrame, min_docs: int = 3, min_tokens: int = 5, depth: int
     return gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("lost"))
 
 
-def clean(docs: DataFrame, **how) -> DataFrame:
-    """docs with text less the dropped lines, and n_lines and n_dropped.
+def clean(docs: DataFrame, into: tuple[str, str] = ("n_lines", "n_dropped"), **how) -> DataFrame:
+    """docs with text less the dropped lines, and n_lines and n_dropped (or other names).
 
     A row for each of docs', other columns as they are. A null text or doc_id loses nothing. Rows that share a doc_id
-    count as one document, and each loses the lines whose numbers are dropped. Columns n_lines and n_dropped of docs
+    count as one document, and each loses the lines whose numbers are dropped. Columns of docs with the names of `into`
     are replaced.
     """
     lost = dropped(docs, **how).select(F.col("doc_id").alias("__lost_of"), F.col("lost").alias("__lost"))
     out = docs.join(lost, F.col("doc_id") == F.col("__lost_of"), "left").drop("__lost_of")
     lines, gone = F.split("text", "\n"), F.col("__lost")
     left = let(lines, lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), gone), lambda i: F.get(x, i)), "\n"))
-    new = {"text": F.when(gone.isNull(), F.col("text")).otherwise(left), "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size(gone), F.lit(0)).cast("long")}
+    new = {"text": F.when(gone.isNull(), F.col("text")).otherwise(left), into[0]: F.coalesce(F.size(lines), F.lit(0)).cast("long"), into[1]: F.coalesce(F.size(gone), F.lit(0)).cast("long")}
     return out.withColumns(new).drop("__lost")
