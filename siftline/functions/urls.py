@@ -78,14 +78,17 @@ def is_gambling_or_adult(d: Column) -> Column:
     return d.rlike(any_of(GAMBLING_ADULT_PATTERNS, "")) & ~exempt
 
 
+def allowed_domain(d: Column, blacklist: bool = True) -> Column:
+    """Whether a listed domain stays: not without a dot or with other characters; in blacklists no platform roots,
+    gambling and adult sites either. Give it a column of its own, as it reads it often."""
+    ok = F.contains(d, F.lit(".")) & d.rlike("^[a-z0-9.-]+$")
+    return ok & ~is_platform_root(d) & ~is_gambling_or_adult(d) if blacklist else ok
+
+
 def clean_domain(c: Column, blacklist: bool = True) -> Column:
-    """The domain that a line stands for, or null: markup, no dot, other characters; in blacklists also platform roots,
-    gambling and adult sites."""
+    """The domain that a line stands for, or null where it doesn't stay."""
     d = listed_domain(c)
-    ok = F.contains(d, F.lit(".")) & d.rlike("^[a-z0-9.-]+$")
-    if blacklist:
-        ok = ok & ~is_platform_root(d) & ~is_gambling_or_adult(d)
-    return F.when(ok, d)
+    return F.when(allowed_domain(d, blacklist), d)
 
 
 def subdomain_count(d: Column) -> Column:

@@ -76,8 +76,8 @@ s AS (SELECT page_id, k, white, CASE WHEN d IN ({', '.join(f"'{x}'" for x in PLA
 
 @query(f"WITH x AS ({plain(VARIANTS)}), {CLEAN} SELECT page_id, k::BIGINT AS k, black, white FROM s")
 def clean_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = shared(spark, sf_dir, VARIANTS)
-    return v.select("page_id", "k", U.clean_domain(F.col("v")).alias("black"), U.clean_domain(F.col("v"), False).alias("white"))
+    v = shared(spark, sf_dir, VARIANTS).select("page_id", "k", U.listed_domain(F.col("v")).alias("d"))
+    return v.select("page_id", "k", *(F.when(U.allowed_domain(F.col("d"), b), F.col("d")).alias(n) for n, b in (("black", True), ("white", False))))
 
 
 @query(f"WITH x AS ({plain(VARIANTS)}), {CLEAN} SELECT DISTINCT black AS domain FROM s WHERE black IS NOT NULL")

@@ -110,7 +110,7 @@ def link_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Crawled files: missing, empty, repeated, oversized and parked pages among others.
 CRAWLED = """SELECT concat('f', page_id % 2) AS file, page_id AS line_no, page_id % 29 = 28 AS malformed, CASE WHEN page_id % 10 = 9 THEN concat(' ', upper(url)) ELSE url END AS url,
- CASE page_id % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat('<p>Buy  this domain</p>', html) WHEN 3 THEN concat(html, repeat('<!-- filler filler filler -->', 400000)) ELSE html END AS html FROM {pages}
+ CASE page_id % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat('<p>Buy  this domain</p>', html) WHEN 3 THEN concat(html, repeat('<!-- filler filler filler -->', CASE WHEN page_id % 64 = 3 THEN 400000 ELSE 0 END)) ELSE html END AS html FROM {pages}
  UNION ALL SELECT concat('f', page_id % 2), page_id + 1000000, false, url, html FROM {pages} WHERE page_id % 3 = 0"""
 _WORDS = f"""w AS (SELECT file, line_no, length(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(html, '(?is){_BLOCKS}<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '[ \\t\\r\\n]+'), lambda x: x <> '')) AS words FROM c WHERE html IS NOT NULL AND strlen(html) <= 10485760)"""
 _REASONED = f"""c AS ({plain(CRAWLED)}),
