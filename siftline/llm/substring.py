@@ -355,7 +355,7 @@ def add_spans(docs: DataFrame, finish: Callable, schema: str, k: int = 13) -> Da
     named = own.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
     def meet(rows: DataFrame, *by: F.Column | str) -> DataFrame:
-        return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", *by)
+        return rows.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", *by)
 
     def joined(rows: DataFrame, texts: DataFrame) -> DataFrame:
         texts = texts.select(F.coalesce(bucketed(F.col("doc_id"), buckets), F.lit(0)).alias("bucket"), F.lit(None).cast("int").alias("aim"), "doc_id", F.xxhash64("text").alias("version"), "text", F.lit(None).cast("binary").alias("packed"))
