@@ -35,6 +35,7 @@ def parser() -> argparse.ArgumentParser:
     c = sub.add_parser("collect", help="read feed snapshots and merge them")
     c.add_argument("--sources", default="default")
     c.add_argument("--snapshots", required=True, help="folder with a file or folder for each feed")
+    c.add_argument("--download", action="store_true", help="fetch the feeds into that folder first")
     c.add_argument("--per-source-limit", type=int, default=5000)
     c.add_argument("--dry-run", action="store_true")
     c.add_argument("--no-merge", action="store_true")
@@ -100,21 +101,34 @@ def crawl(spark: SparkSession, a: argparse.Namespace) -> None:
         merge(spark, a.root, which, kept.select(F.explode("items").alias("domain")).distinct(), a.dry_run)
     if a.check_status:
         for which in chosen(a.check_status):
-            print_row(which, statuses(spark, files.domain_set(spark, list_path(a.root, which))).groupBy("class").count())
+            print_row(which, statuses(files.domain_set(spark, list_path(a.root, which))).groupBy("class").count())
 
 
-def statuses(spark: SparkSession, domains: DataFrame, workers: int = 20) -> DataFrame:
-    """domain and class of each domain, by asking resolvers and sites."""
-    names = "\n".join(r["domain"] for r in domains.collect())
-    dns = spark.read.format("siftline_dns").option("urls", names).option("partitions", workers).load()
-    urls = "\n".join(f"{s}://{d}" for d in names.split("\n") if d for s in ("https", "http"))
-    http = spark.read.format("siftline_http").option("urls", urls).option("partitions", workers).option("timeout", 10).load()
-    first = http.where("status_code IS NOT NULL").groupBy(F.regexp_extract("url", "://(.*)", 1).alias("domain")).agg(F.max_by("status_code", F.col("url").startswith("https")).alias("http_status"))
-    own = dns.groupBy("domain").agg(F.bool_or("ok").alias("dns_ok")).join(first, "domain", "left")
+def statuses(domains: DataFrame, workers: int = 20) -> DataFrame:
+    """domain and class of each domain, by asking the system's resolver and the sites."""
+    dns = network.names(domains, workers, ["system"]).groupBy("domain").agg(F.bool_or("ok").alias("dns_ok"))
+    http = network.answers(domains, workers, 10).where("status_code IS NOT NULL AND attempt = 0")
+    first = http.groupBy("domain").agg(F.max_by("status_code", F.col("scheme") == "https").alias("http_status"))
+    own = dns.join(first, "domain", "left")
     return own.select("domain", fetching.liveness(F.col("dns_ok"), F.col("http_status")).alias("class"))
 
 
+def download(spark: SparkSession, wanted: list[str], folder: str) -> None:
+    """Puts the feeds' bytes in a folder; a feed that gives none is left out."""
+    for name in wanted:
+        feed = feeds.FEEDS[name]
+        try:
+            content, url = network.fetch_feed(feed.url, feed.fallback)
+        except RuntimeError as e:
+            print(f"{name}: {e}")
+            continue
+        sinks.write_bytes(spark, f"{folder}/{name}", content)
+        print(f"{name}: {len(content)} bytes from {url}")
+
+
 def collect(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.download:
+        download(spark, feeds.selected(a.sources), a.snapshots)
     paths = {n: f"{a.snapshots}/{n}" for n in feeds.selected(a.sources)}
     there = {n: p for n, p in paths.items() if files.exists(spark, p)}
     for n in paths.keys() - there.keys():
@@ -142,16 +156,16 @@ def fetch(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.fix_mojibake:
         fixed = sinks.repair_records(spark, a.fix_mojibake, RAW_HTML, {"_mojibake_fixed": fix_mojibake(F.col("html"), 0) != F.col("html"), "html": fix_mojibake(F.col("html"), 0)})
         return sinks.replace(fixed.orderBy("line_no").select("value"), a.fix_mojibake)
-    network.register(spark)
     for which in chosen(a.source):
         own = files.domain_lines(spark, list_path(a.root, which), a.limit).select(fetch_key(F.col("value")).alias("domain")).distinct()
-        names = [r["domain"] for r in own.collect()]
-        load = lambda kind, urls: spark.read.format(kind).option("urls", "\n".join(urls)).option("partitions", a.workers).load()
-        http = load("siftline_http", [f"{s}://{d}" for d in names if d for s in ("https", "http")])
-        http = http.select(F.regexp_extract("url", "://(.*)", 1).alias("domain"), F.regexp_extract("url", "^(.*)://", 1).alias("scheme"), F.lit(0).alias("attempt"), "status_code", decode(F.col("body"), F.col("charset")).alias("body"))
-        archive = spark.createDataFrame([], "domain string, closest_status string, body string")
-        out = fetching.outcomes(own, load("siftline_dns", names), http, archive, a.min_words)
+        dns = network.names(own.where("domain != ''"), a.workers).persist()
+        http = network.answers(fetching.resolved(dns).where("dns_ok"), a.workers).persist()
+        missing = own.where("domain != ''").join(http.where("status_code < 400").select("domain").distinct(), "domain", "left_anti")
+        archive = network.copies(missing, a.workers).persist()
+        out = fetching.outcomes(own, dns, http, archive, a.min_words)
         sinks.append_records(out.withColumns({"source": F.lit(which), "fetched_at": iso_utc(F.current_timestamp())}), f"{a.root}/html/raw/{which}list_{datetime.now(UTC):%Y%m%d_%H%M%S}.jsonl")
+        for df in (dns, http, archive):
+            df.unpersist()
 
 
 def clean_pages(spark: SparkSession, a: argparse.Namespace) -> None:

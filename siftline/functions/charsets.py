@@ -13,9 +13,24 @@ from pyspark.sql import types as T
 FALLBACKS = ["windows-1258", "cp1252", "iso-8859-1"]
 
 
+def guessed(raw: bytes) -> list[str]:
+    """What chardet takes the bytes for, if it is installed and they aren't UTF-8."""
+    try:
+        raw.decode()
+        return []
+    except UnicodeDecodeError:
+        pass
+    try:
+        import chardet
+    except ImportError:
+        return []
+    found = chardet.detect(raw).get("encoding")
+    return [found] if found else []
+
+
 def decoded(raw: bytes, declared: str | None) -> str:
     tries = [declared] if declared and declared.lower() not in ("utf-8", "utf8") else []
-    for charset in ("utf-8", *tries, *FALLBACKS):
+    for charset in ("utf-8", *tries, *guessed(raw), *FALLBACKS):
         try:
             return raw.decode(charset)
         except (UnicodeDecodeError, LookupError):

@@ -91,11 +91,15 @@ def report(title: str, lines: list[str], now: datetime) -> str:
     return "\n".join([f"# {title}", "", f"Generated: {now.isoformat(timespec='seconds')}", "", *(f"- {x}" for x in lines), ""])
 
 
-def write_report(spark: SparkSession, path: str, title: str, lines: list[str], now: datetime) -> None:
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     fs, at = _fs(spark, path)
     out = fs.create(at, True)
-    out.write(bytearray(report(title, lines, now).encode()))
+    out.write(bytearray(content))
     out.close()
 
 
+def write_report(spark: SparkSession, path: str, title: str, lines: list[str], now: datetime) -> None:
+    write_bytes(spark, path, report(title, lines, now).encode())
+
+
 __all__ = [n for n in dir() if n.startswith(("write_", "append_", "repair_")) or n in ("replace", "report", "workspace", "exists")]

@@ -88,6 +88,35 @@ def test_network_rules():
     assert network.resolves("x", lookup=lambda *a: [1]) and not network.resolves("no such host.invalid", lookup=lambda *a: (_ for _ in ()).throw(OSError()))
 
 
+def test_resolvers_and_archive():
+    q = network.question("a.example", 7)
+    name = b"\x01a\x07example\x00"
+    assert q == b"\x00\x07\x01\x00\x00\x01\x00\x00\x00\x00\x00\x00" + name + b"\x00\x01\x00\x01"
+    head = lambda n, flags=0x8180: n.to_bytes(2) + flags.to_bytes(2) + b"\x00\x01\x00\x02\x00\x00\x00\x00" + name + b"\x00\x01\x00\x01"
+    alias = b"\xc0\x0c\x00\x05\x00\x01\x00\x00\x00\x09\x00\x02\xc0\x0c"
+    address = b"\xc0\x0c\x00\x01\x00\x01\x00\x00\x00\x09\x00\x04\x7f\x00\x00\x01"
+    assert network.has_address(head(7) + alias + address, 7) and not network.has_address(head(8) + alias + address, 7)
+    assert not network.has_address(head(7) + alias + alias, 7) and not network.has_address(head(7, 0x8183) + alias + address, 7)
+    assert list(network.asked("d", ["x", "y", "z"], lambda r, d: r == "y")) == [("d", "x", False), ("d", "y", True)]
+    told = {network.ARCHIVE + "ok": (200, None, b'{"archived_snapshots":{"closest":{"status":"200","url":"u"}}}', None), "u": (200, None, b"page", None), network.ARCHIVE + "old": (200, None, b'{"archived_snapshots":{"closest":{"status":"404"}}}', None), network.ARCHIVE + "no": (200, None, b'{"archived_snapshots":{}}', None), network.ARCHIVE + "bad": (200, None, b"<html>", None)}
+    fetch = lambda u: told.get(u, (None, None, None, "e"))
+    assert [network.archived(d, fetch) for d in ("ok", "old", "no", "bad", "out")] == [("ok", "200", "page"), ("old", "404", None), ("no", None, None), ("bad", None, None), ("out", None, None)]
+
+
+def test_network_rows(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "domain string")
+
+    def fetch(u):
+        return {"https://a": (200, None, b"A", None), "https://b": (503, None, None, "e"), "http://b": (200, "latin-1", b"\xe9", None), "http://c": (404, None, None, "e")}.get(u, (None, None, None, "e"))
+
+    got = sorted((r.domain, r.scheme, r.attempt, r.status_code, r.body) for r in network.answers(df, 2, fetch=fetch).collect())
+    assert [g for g in got if g[3]] == [("a", "https", 0, 200, "A"), ("b", "http", 0, 200, "é"), ("b", "https", 0, 503, None), ("b", "https", 1, 503, None), ("c", "http", 0, 404, None)]
+    dns = network.names(df, 2, ["x", "y"], lambda r, d: d == "a" or (d, r) == ("b", "y")).collect()
+    assert sorted((r.domain, r.resolver) for r in dns if r.ok) == [("a", "x"), ("b", "y")] and len(dns) == 1 + 2 + 2 + 2
+    assert {r.domain for r in network.copies(df, 2, fetch).collect()} == {"a", "b", "c", "d"}
+    assert network.answers(df.limit(0), 2, fetch=fetch).collect() == []
+
+
 def test_network_sources(spark, tmp_path):
     network.register(spark)
     f = tmp_path / "page"
