@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
+def apart(df: DataFrame, key: str) -> DataFrame:
+    """df as it is, but its rows' place by key is forgotten. A join with it deals both sides anew, and only such joins can
+    be split by adaptive execution where a key is hot."""
+    return df.withColumn(key, F.shiftleft(key, 0))
+
+
 def roots(links: DataFrame, most: int = 64) -> DataFrame:
     """node and root, the smallest node that it reaches, for every node in links (u, v) other than a root itself.
 
@@ -19,9 +25,9 @@ def roots(links: DataFrame, most: int = 64) -> DataFrame:
     for _ in range(most):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+        large = both.join(apart(least, "u"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        small = large.join(apart(least, "u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         e = cut(small)
         # Done where every node has one link and no link's end begins another.
         side = e.select(F.col("u").alias("node"), F.lit(1).alias("begins"), F.lit(0).alias("ends")).unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("begins"), F.lit(1).alias("ends")))

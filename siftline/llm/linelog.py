@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
+from .components import apart
 from .rules import let, words_of
 
 FIELD = "<*>"
@@ -38,7 +39,7 @@ def dropped(docs: DataFrame, min_docs: int = 3, min_tokens: int = 5, depth: int
     """doc_id and lost, the numbers (from 0) of its lines that recur in an earlier document; none for other documents."""
     lines = cut(lines_of(docs, depth, min_tokens))
     full = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    some = cut(lines.join(full, "leaf"))
+    some = cut(lines.join(apart(full, "leaf"), "leaf"))
     own = some.groupBy("leaf", "own", "doc_id").agg(F.min("line_no").alias("line_no"))
     own = cut(own.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "line_no")).alias("at")))
     # A leaf with one template only has nothing to generalise; for the others, one line of each template is looked up.
@@ -58,7 +59,7 @@ def dropped(docs: DataFrame, min_docs: int = 3, min_tokens: int = 5, depth: int
     # The template's key: the leaf where the line fits what the leaf has in common, else the line's own.
     keyed = some.join(general, ["leaf", "own"], "left").select("doc_id", "line_no", F.when(F.col("general"), F.xxhash64("leaf", F.lit(FIELD))).otherwise(F.col("own")).alias("key"))
     often = keyed.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first")).where(F.col("docs") >= min_docs)
-    gone = keyed.join(often.select("key", "first"), "key").where("doc_id > first")
+    gone = keyed.join(apart(often.select("key", "first"), "key"), "key").where("doc_id > first")
     return gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("lost"))
 
 
