@@ -66,6 +66,23 @@ INSIDE[[0x20, *range(0x09, 0x0E)]] = False
 LOW_BYTES = np.array([U64((1 << 8 * n) - 1) for n in range(8)] + [U64(2**64 - 1)], U64)
 
 
+def slice_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of slices of bytes; raw has 9 bytes more than they reach."""
+    eight = np.ndarray((len(raw) - 8,), "<u8", raw.data, 0, (1,))
+    left = end - start
+    with np.errstate(over="ignore"):
+        h = left.astype(U64) * GOLDEN
+        h = (h ^ (eight[start] & LOW_BYTES[np.minimum(left, 8)])) * U64(0xD6E8FEB86659FD93)
+        at, done = np.flatnonzero(left > 8), 8
+        while len(at):
+            x = h[at]
+            x ^= x >> U64(32)
+            h[at] = (x ^ (eight[start[at] + done] & LOW_BYTES[np.minimum(left[at] - done, 8)])) * U64(0xD6E8FEB86659FD93)
+            done += 8
+            at = at[left[at] > done]
+    return mix(h)
+
+
 class Words:
     """The words of many texts at once: hashes, where they stand in `data`, and the first word of each text in `first`.
 
@@ -85,22 +102,7 @@ class Words:
         edges = np.flatnonzero(on[1:] != on[:-1])
         self.start, self.end = edges[::2], edges[1::2]
         self.first = np.searchsorted(self.start, at)
-        self.hash = self._hashes(raw)
-
-    def _hashes(self, raw: np.ndarray) -> np.ndarray:
-        eight = np.ndarray((len(raw) - 8,), "<u8", raw.data, 0, (1,))
-        left = self.end - self.start
-        with np.errstate(over="ignore"):
-            h = left.astype(U64) * GOLDEN
-            h = (h ^ (eight[self.start] & LOW_BYTES[np.minimum(left, 8)])) * U64(0xD6E8FEB86659FD93)
-            at, done = np.flatnonzero(left > 8), 8
-            while len(at):
-                x = h[at]
-                x ^= x >> U64(32)
-                h[at] = (x ^ (eight[self.start[at] + done] & LOW_BYTES[np.minimum(left[at] - done, 8)])) * U64(0xD6E8FEB86659FD93)
-                done += 8
-                at = at[left[at] > done]
-        return mix(h)
+        self.hash = slice_hashes(raw, self.start, self.end)
 
     def text_of(self, at: np.ndarray) -> np.ndarray:
         """The number of the text in which each of these words stands."""

@@ -13,21 +13,22 @@ an executor that is lost leaves no half file behind.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import cut, remove, scratch
+from .common import cut, parts, remove, scratch, slice_hashes
 
 SKIP, TABLE, MAGIC = 0x184D2A50, 0x184D2A5E, b"\xb1\xea\x92\x8f"
 #: Bytes of ids in a frame, and compressed bytes in a file, beyond which a new one begins.
@@ -35,7 +36,13 @@ FRAME, FILE = 1 << 18, 1 << 26
 #: Marks a missing doc_id in the index.
 NO_ID = -(1 << 63)
 
-PLAIN_CHUNK = re.compile(rf" ?[{bpe.LETTER}]+|(?: (?![{bpe.LETTER}])|[^{bpe.LETTER} ])+")
+#: Bytes of letters in texts of common characters.
+LETTERS = np.zeros(256, bool)
+LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+#: Bytes of text that are cut into chunks at a time.
+PART = 1 << 20
+#: Chunks that a worker keeps, of up to LONG bytes; beyond it those go that were not seen for longest.
+KEPT, LONG = 600_000, 64
 
 
 class Writer:
@@ -129,12 +136,19 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+def spread(flat: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """flat[at : at + size] of each, one behind the other."""
+    place = np.cumsum(size, dtype=np.int64)
+    return flat[np.repeat(at - place + size, size) + np.arange(place[-1] if len(place) else 0)]
+
+
 class Fast:
     """The tokenizers library behind a bounded memory of chunks.
 
-    A text of common characters is cut where the tokenizer's own pattern always cuts, before a letter run and after it.
-    A letter run, one match of the pattern, goes straight to the library's merges; what is between goes through the
-    whole tokenizer, and so do other texts.
+    A text of common characters is cut where the tokenizer's own pattern always cuts, before a letter run and after it;
+    a blank goes with the letters behind it. Chunks are told apart by 64-bit hashes, many texts at a time, so that each
+    different one is looked up once. A letter run, one match of the pattern, goes straight to the library's merges; what
+    is between goes through the whole tokenizer, and so do other texts.
     """
 
     def __init__(self, path: str):
@@ -147,33 +161,75 @@ class Fast:
         self.own.encode_special_tokens = True
         self.merges = self.own.model.tokenize
         self.letters = byte_letters()
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        #: Known chunks, by hash: where their ids begin in `flat`, how many there are, and the turn that saw them last.
+        self.keys, self.at, self.size, self.seen = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
+        self.flat = np.empty(0, "<u4")
+        self.turn = 0
 
     def whole(self, text: str) -> bytes:
         return array("I", self.own.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def chunk(self, c: str) -> bytes:
-        if (ids := self.old.get(c)) is None:
-            if c[-1].isalpha():
-                ids = array("I", [t.id for t in self.merges(c.encode().decode("latin-1").translate(self.letters))]).tobytes()
-            else:
-                ids = self.whole(c)
-        if len(c) <= 64:
-            if len(self.new) >= bpe.KEPT // 2:
-                self.old, self.new = self.new, {}
-            self.new[c] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not bpe.PLAIN.match(text):
-            return self.whole(text)
-        chunks = PLAIN_CHUNK.findall(text)
-        found = list(map(self.new.get, chunks))
-        if None in found:
-            found = [self.new.get(c) or self.chunk(c) if f is None else f for c, f in zip(chunks, found, strict=True)]
-        return b"".join(found)
+    def chunk(self, c: bytes) -> list[int]:
+        if LETTERS[c[-1]]:
+            return [t.id for t in self.merges(c.decode("latin-1").translate(self.letters))]
+        return self.own.encode(c.decode(), add_special_tokens=False).ids if c != b"\0" else []
+
+    def places(self, keys: np.ndarray, data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, and where those of each chunk begin there and how many they are. keys are sorted and distinct."""
+        near = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        known = self.keys[near] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        more = np.flatnonzero(~known)
+        more = more[np.argsort(end[more] - start[more] > LONG, kind="stable")]
+        found = [self.chunk(data[a:b]) for a, b in zip(start[more].tolist(), end[more].tolist(), strict=True)]
+        at, size = np.empty(len(keys), np.int64), np.empty(len(keys), np.int32)
+        at[known], size[known] = self.at[near[known]], self.size[near[known]]
+        size[more] = list(map(len, found))
+        at[more] = len(self.flat) + np.cumsum(size[more], dtype=np.int64) - size[more]
+        flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(found), "<u4", int(size[more].sum(dtype=np.int64)))))
+        self.turn += 1
+        self.seen[near[known]] = self.turn
+        more = more[end[more] - start[more] <= LONG]
+        self.flat = flat[: int(at[more[-1]] + size[more[-1]]) if len(more) else len(self.flat)]
+        order = np.argsort(own := np.concatenate((self.keys, keys[more])), kind="stable")
+        self.keys, self.at, self.size, self.seen = (np.concatenate(x)[order] for x in ((own,), (self.at, at[more]), (self.size, size[more]), (self.seen, np.full(len(more), self.turn, np.int32))))
+        if len(self.keys) > KEPT:
+            stay = np.argsort(-self.seen, kind="stable")[: KEPT // 2]
+            stay.sort()
+            self.keys, self.size, self.seen = self.keys[stay], self.size[stay], self.seen[stay]
+            self.flat = spread(self.flat, self.at[stay], self.size)
+            self.at = np.cumsum(self.size, dtype=np.int64) - self.size
+        return flat, at, size
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        plain = [bool(bpe.PLAIN.match(t)) for t in texts]
+        some = iter(self._plain([t.encode() for t, p in zip(texts, plain, strict=True) if p]))
+        return [next(some) if p else self.whole(t) for t, p in zip(texts, plain, strict=True)]
+
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        if not texts:
+            return []
+        data = b"\0".join([*texts, b""])
+        n = len(data)
+        raw = np.zeros(n + 9, np.uint8)
+        raw[:n] = np.frombuffer(data, np.uint8)
+        inside = np.zeros(n + 2, bool)
+        inside[1:-1] = LETTERS[raw[:n]]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        begin, end = edges[::2], edges[1::2]
+        stop = np.cumsum([len(t) + 1 for t in texts]) - 1
+        cut = np.zeros(n + 1, bool)
+        cut[begin - ((begin > 0) & (raw[begin - 1] == 32))] = True
+        cut[end] = cut[stop] = cut[stop + 1] = cut[0] = True
+        start = np.flatnonzero(cut[:n])
+        end = np.append(start[1:], n)
+        keys, at, which = np.unique(slice_hashes(raw, start, end), return_index=True, return_inverse=True)
+        flat, first, size = self.places(keys, data, start[at], end[at])
+        own = size[which]
+        raw_ids = spread(flat, first[which], own).tobytes()
+        place = np.cumsum(own, dtype=np.int64)
+        bounds = 4 * np.concatenate(([0], (place - own)[np.searchsorted(start, stop)]))
+        return [raw_ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 _fast: dict[str, Fast] = {}
@@ -198,11 +254,13 @@ def write_tokens(df: DataFrame, path: str, to: str, end_id: int | None = 0, part
         coder, w = fast(bpe.place(path)), Writer()
         out = lambda: pa.RecordBatch.from_arrays([pa.array([w.close()[:-4]], pa.binary())], ["value"])
         for batch in batches:
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                w.add(d, coder.encode(text.as_py() or "") + end)
-                if w.size >= FILE:
-                    yield out()
-                    w = Writer()
+            docs, size = batch.column(0).to_pylist(), pa.compute.binary_length(batch.column(1)).fill_null(0).to_pylist()
+            for a, b in parts(size, PART):
+                for d, ids in zip(docs[a:b], coder.encode([t or "" for t in batch.column(1)[a:b].to_pylist()]), strict=True):
+                    w.add(d, ids + end)
+                    if w.size >= FILE:
+                        yield out()
+                        w = Writer()
         if w.index:
             yield out()
 
@@ -211,11 +269,9 @@ def write_tokens(df: DataFrame, path: str, to: str, end_id: int | None = 0, part
     rows.write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1")).text(to)
 
 
-def read_tokens(spark: SparkSession, at: str, wanted: list[int] | None = None) -> DataFrame:
-    """file, place, doc_id, ids (the bytes of little-endian unsigned 32-bit integers) of all documents or those wanted.
-
-    For the wanted ones, only the frames that hold them are decompressed.
-    """
+def from_files(spark: SparkSession, at: str, schema: str, told: Callable[[bytes], tuple], wanted: list[int] | None = None) -> DataFrame:
+    """file, place, doc_id and what `told` makes of the bytes of the ids, by the rest of schema, of all documents or those
+    wanted. For the wanted ones, only the frames that hold them are decompressed."""
 
     def docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,20 +283,28 @@ def read_tokens(spark: SparkSession, at: str, wanted: list[int] | None = None) -
                 else:
                     rows = ((i, int(r.doc_ids[i]), r.ids(i).tobytes()) for i in np.flatnonzero(np.isin(r.doc_ids, wanted)).tolist())
                 held, size = [], 0
-                for row in rows:
-                    held.append((name, *row))
-                    size += len(row[2])
+                for i, d, ids in rows:
+                    held.append((name, i, d, *told(ids)))
+                    size += len(ids)
                     if size > 1 << 23:
                         yield pack(held)
                         held, size = [], 0
                 if held:
                     yield pack(held)
 
+    kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*(x.split() for x in f"file string, place long, doc_id long, {schema}".split(", ")), strict=True)
+
     def pack(rows: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["file", "place", "doc_id", "ids"])
+        return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*rows, strict=True), types, strict=True)], list(names))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(at).select("path", "content")
-    return files.mapInArrow(docs, "file string, place long, doc_id long, ids binary")
+    return files.mapInArrow(docs, f"file string, place long, doc_id long, {schema}")
+
+
+def read_tokens(spark: SparkSession, at: str, wanted: list[int] | None = None) -> DataFrame:
+    """file, place, doc_id, ids (the bytes of little-endian unsigned 32-bit integers) of all documents or those wanted."""
+    return from_files(spark, at, "ids binary", lambda ids: (ids,), wanted)
 
 
 def digests(df: DataFrame, path: str, to: str | None = None) -> DataFrame:
@@ -249,11 +313,7 @@ def digests(df: DataFrame, path: str, to: str | None = None) -> DataFrame:
     at = to or scratch(spark, "tokens")
     write_tokens(df, path, at)
 
-    @F.arrow_udf("long")
-    def crc(ids: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(x.as_buffer()) for x in ids], pa.int64())
-
-    rows = read_tokens(spark, at).select("file", "place", "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"))
+    rows = from_files(spark, at, "n_tokens long, ids_crc32 long", lambda ids: (len(ids) // 4, zlib.crc32(ids)))
     w = F.expr("sum(n_tokens) OVER (PARTITION BY file ORDER BY place) - n_tokens")
     rows = cut(rows.withColumn("inside", w))
     if to is None:
