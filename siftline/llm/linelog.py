@@ -20,6 +20,8 @@ from .components import apart
 from .rules import let, words_of
 
 FIELD = "<*>"
+#: Lines (of some 50 bytes each) that are looked up by sending them to all tasks; for more, the texts move to them.
+FEW = 100_000
 
 
 def tokens_of(line: Column) -> Column:
@@ -44,10 +46,11 @@ def dropped(docs: DataFrame, min_docs: int = 3, min_tokens: int = 5, depth: int
     own = cut(own.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "line_no")).alias("at")))
     # A leaf with one template only has nothing to generalise; for the others, one line of each template is looked up.
     mixed = own.groupBy("leaf").agg(F.count(F.lit(1)).alias("k"), F.sum("docs").alias("of")).where("k > 1").select("leaf", "of")
-    wanted = own.join(mixed, "leaf").select(F.col("at.doc_id").alias("doc_id"), F.struct(F.col("at.line_no").alias("line_no"), "leaf", "own", "docs", "of").alias("x"))
+    wanted = cut(own.join(mixed, "leaf").select(F.col("at.doc_id").alias("doc_id"), F.struct(F.col("at.line_no").alias("line_no"), "leaf", "own", "docs", "of").alias("x")))
+    few = wanted.count() <= FEW
     wanted = wanted.groupBy("doc_id").agg(F.collect_list("x").alias("xs"))
     # Rows that share a doc_id may differ in text: the hash tells which one was meant.
-    text = docs.select("doc_id", "text").join(wanted, "doc_id").select(F.inline(let(F.split("text", "\n"), lambda s: F.transform("xs", lambda x: F.struct(x["leaf"].alias("leaf"), x["own"].alias("own"), x["docs"].alias("docs"), x["of"].alias("of"), F.get(s, x["line_no"]).alias("line"))))))
+    text = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id").select(F.inline(let(F.split("text", "\n"), lambda s: F.transform("xs", lambda x: F.struct(x["leaf"].alias("leaf"), x["own"].alias("own"), x["docs"].alias("docs"), x["of"].alias("of"), F.get(s, x["line_no"]).alias("line"))))))
     text = text.where("line IS NOT NULL").select("leaf", "own", "docs", "of", tokens_of(F.col("line")).alias("tokens")).where(F.xxhash64("tokens") == F.col("own")).dropDuplicates(["leaf", "own"])
     at = cut(text.select("leaf", "own", "of", "docs", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token")))
     common = at.groupBy("leaf", "pos", "size", "of", "token").agg(F.sum("docs").alias("docs"))

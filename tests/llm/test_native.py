@@ -95,7 +95,7 @@ def brute_lines(docs, min_docs=3, min_tokens=5, depth=4, constant=0.9, similar=0
     return {d: None if x is None else "\n".join(v for k, v in enumerate(x.split("\n")) if k not in lost[d]) for d, x in docs}
 
 
-def test_line_templates(spark):
+def test_line_templates(spark, monkeypatch):
     rng = random.Random(5)
     docs = [(0, None), (1, ""), (2, "\n\n"), (3, "page 12 of the whole 40 book"), (4, "page 7 of the whole 9 book\nend"), (5, "own line of its own here\npage 1 of the whole 2 book")]
     for i in range(6, 40):
@@ -104,9 +104,11 @@ def test_line_templates(spark):
         docs.append((i, "\n".join(x[: rng.randrange(1, 5)])))
     docs.append((99, "x " * 30_000))
     df = spark.createDataFrame([(d, t, 1, "keep") for d, t in docs], "doc_id long, text string, n_lines int, __x string")
-    got = linelog.clean(df).collect()
-    assert {r.doc_id: r.text for r in got} == brute_lines(docs) and len(got) == len(docs)
-    assert sum(r.n_dropped for r in got) > 40 and all(r["__x"] == "keep" for r in got)
+    for few in (100_000, 0):
+        monkeypatch.setattr(linelog, "FEW", few)
+        got = linelog.clean(df).collect()
+        assert {r.doc_id: r.text for r in got} == brute_lines(docs) and len(got) == len(docs)
+        assert sum(r.n_dropped for r in got) > 40 and all(r["__x"] == "keep" for r in got)
 
 
 def test_line_templates_of_no_rows(spark):
