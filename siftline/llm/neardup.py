@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import GOLDEN, U64, Words, cut, mix, parts, runs, utf8
-from .components import roots
+from .components import apart, roots
 
 M, ROWS, BASE, SHIFT = 128, 4, 1.001, 4096
 #: Members of a bucket that are compared in one block.
@@ -159,10 +159,11 @@ def fine(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(each, "id long, least binary, whole boolean")
 
 
-def close(p: np.ndarray, p_whole: bool, others: list[bytes], whole: np.ndarray, threshold: float) -> np.ndarray:
+def close(p: np.ndarray, p_whole: bool, others: list[bytes], whole: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Which of the others may be linked with p: similar enough among the elements up to the least bound of the two.
 
     For whole sets that is their similarity; for others the pairs at the threshold fall short once in 30,000 times.
+    Second, which surely are: whole sets that would be with an element less in common, should two halves have met.
     """
     top = 1 << 32
     flat, size = np.frombuffer(b"".join(others), "<u4").astype(np.int64), np.array([len(x) // 4 for x in others])
@@ -174,7 +175,7 @@ def close(p: np.ndarray, p_whole: bool, others: list[bytes], whole: np.ndarray,
     common = np.bincount(row[inside & (p[at] == flat)], minlength=len(others))
     union = np.bincount(row[inside], minlength=len(others)) + np.searchsorted(p, bound, "right") - common
     slack = np.where(whole & p_whole, 1e-9, 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(union, 1)))
-    return common >= (threshold - slack) * union
+    return common >= (threshold - slack) * union, whole & p_whole & (common - 1 >= threshold * (union + 1) + 1e-9)
 
 
 def across(mixed: DataFrame, threshold: float) -> DataFrame:
@@ -191,13 +192,13 @@ def across(mixed: DataFrame, threshold: float) -> DataFrame:
         ids, comp, n = (np.array(x[c], np.int64) for c in ("id", "comp", "n"))
         regs = np.frombuffer(b"".join(x["regs"]), "<u2").reshape(-1, M)
         whole, some = np.array(x["whole"]), x["least"]
-        band, mine, main = x["band"][0], np.array(x["mine"]), x["main"][0]
+        band, mine, main, now = x["band"][0], np.array(x["mine"]), x["main"][0], comp.copy()
         alone, every = x["i"][0] == x["j"][0], np.arange(len(ids))
-        out_a, out_b = [], []
+        out: list[tuple[int, int]] = []
         for p in np.flatnonzero(comp != main):
             equal = regs == regs[p]
             # How many equal registers the least estimate can have; the likelihood then decides, then the elements.
-            ok = (np.count_nonzero(equal, axis=1) >= (least - 0.1) * M) & (comp != comp[p]) & (n >= threshold * n[p]) & (n[p] >= threshold * n)
+            ok = (np.count_nonzero(equal, axis=1) >= (least - 0.1) * M) & (now != now[p]) & (n >= threshold * n[p]) & (n[p] >= threshold * n)
             # A pair of two such members of one side counts from the later; across sides it counts from `mine`.
             ok &= (comp == main) | (every < p) if alone else (mine != mine[p]) & ((comp == main) | mine[p])
             q = np.flatnonzero(ok)
@@ -206,10 +207,15 @@ def across(mixed: DataFrame, threshold: float) -> DataFrame:
             if len(q):
                 q = q[similarity(regs[q], np.broadcast_to(regs[p], (len(q), M)), n[q], np.full(len(q), n[p])) >= least]
             if len(q):
-                q = q[close(np.frombuffer(some[p], "<u4").astype(np.int64), bool(whole[p]), [some[i] for i in q], whole[q], threshold)]
-                out_a.append(np.minimum(ids[q], ids[p]))
-                out_b.append(np.maximum(ids[q], ids[p]))
-        return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.empty(0, np.int64), np.empty(0, np.int64))
+                may, sure = close(np.frombuffer(some[p], "<u4").astype(np.int64), bool(whole[p]), [some[i] for i in q], whole[q], threshold)
+                # Sure links first: what they join needs no other link of this block.
+                for i, certain in sorted(zip(q[may].tolist(), sure[may].tolist(), strict=True), key=lambda x: not x[1]):
+                    if now[i] != now[p]:
+                        out.append((min(ids[i], ids[p]), max(ids[i], ids[p])))
+                        if certain:
+                            now[now == now[i]] = now[p]
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        return a, b
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -273,7 +279,7 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     reps = cut(reps)
     bands = banded(reps)
     several = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id")).alias("centre")).where("size > 1")
-    members = cut(bands.join(several, "key").select("key", "band", "id", "size", F.col("centre.id").alias("centre")))
+    members = cut(bands.join(apart(several, "key"), "key").select("key", "band", "id", "size", F.col("centre.id").alias("centre")))
     sets = cut(set_table(docs, members.select("id").distinct(), k))
 
     star = members.where("id != centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
@@ -287,7 +293,7 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     members = cut(members)
     torn = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.when(F.col("id") == F.col("centre"), F.col("comp"))).alias("main")).where("x < y").select("key", "main")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mixed = members.join(torn, "key").join(reps.select("id", "n", "regs"), "id").join(fine(sets), "id").withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int"))
+    mixed = members.join(apart(torn, "key"), "key").join(reps.select("id", "n", "regs"), "id").join(fine(sets), "id").withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int"))
     mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     mixed = mixed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", (F.col("own") <= F.col("other")).alias("mine"), "id", "comp", "main", "n", "regs", "least", "whole")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
