@@ -1,11 +1,14 @@
 """Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them against test items.
 
-1. Words are runs of letters and digits, A-Z lower-cased. The items' n-grams are counted over all documents. An item
-   keeps as seeds those that are rare beside its others: up to RARER times the median of its own, so that stock phrases
-   go, and an item that many documents copy whole still keeps its seeds.
+1. Words are runs of letters and digits, A-Z lower-cased. The items' n-grams are counted over all documents. Those of
+   an item that are rare beside its others, up to RARER times the median of its own, are its rare seeds. The others may
+   be stock phrases or the intact part of an edited copy that many documents share, which counts can't tell apart.
 2. A document that holds a seed is aligned with the seed's item around it: a match gains 1, a mismatch or a gap costs 1,
    and the best local score over the item's number of words is the score. A whole copy has 1.0; a copy in which every
-   fifth word is another has 0.6.
+   fifth word is another has 0.6. Around seeds none of which is rare, what has too few of the item's words to reach the
+   bound isn't aligned: a score is at most the number of matches, so no pair is lost to a seed's frequency.
+
+A copy without n consecutive words in common with its item has no seed and isn't found, whatever its score.
 
 Items are few beside documents: a stated query set, held against all documents in blocks of at most BLOCK words, each of
 which is small enough for every task. Documents don't move between executors.
@@ -29,8 +32,8 @@ RARER, FLOOR = 4, 20
 BLOCK, PART = 1 << 20, 1 << 22
 #: Seeds of an item whose diagonals differ by up to this many words are aligned together.
 NEAR = 32
-#: Regions that are aligned at a time.
-LANES = 512
+#: Regions that are aligned at a time, and their cells beyond one region.
+LANES, CELLS = 512, 1 << 20
 
 INSIDE = np.zeros(256, bool)
 INSIDE[[*b"0123456789", *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -54,13 +57,14 @@ def grams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Items:
-    """The items of a block: their ids and words; and their seeds, sorted, each with its item and its place there."""
+    """The items of a block: their ids and words; and their seeds, sorted, each with its item, its place there and whether it is rare."""
 
     ids: list
     words: list[np.ndarray]
     seeds: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    few: np.ndarray
 
     @classmethod
     def of(cls, ids: list, texts: list[str | None], n: int) -> Items:
@@ -68,16 +72,17 @@ class Items:
         hashes, at = grams(w, n)
         item = w.text_of(at)
         order = np.argsort(hashes, kind="stable")
-        return cls(ids, [w.hash[a:b] for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)], hashes[order], item[order], (at - w.first[item])[order])
+        return cls(ids, [w.hash[a:b] for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)], hashes[order], item[order], (at - w.first[item])[order], np.ones(len(order), bool))
 
     def rare(self, seen: np.ndarray) -> Items:
-        """seen: in how many documents each seed is."""
+        """seen: in how many documents each seed is. Seeds of no document go."""
         ok = np.zeros(len(self.seeds), bool)
         for i in range(len(self.ids)):
             own = np.flatnonzero(self.item == i) if len(self.ids) < 64 else self._own(i)
             if len(own):
                 ok[own] = seen[own] <= max(FLOOR, RARER * float(np.median(seen[own])))
-        return Items(self.ids, self.words, self.seeds[ok], self.item[ok], self.place[ok])
+        held = seen > 0
+        return Items(self.ids, self.words, self.seeds[held], self.item[held], self.place[held], ok[held])
 
     def _own(self, i: int) -> np.ndarray:
         if not hasattr(self, "_by_item"):
@@ -100,8 +105,15 @@ def align(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """The best local score of each pair of word sequences; many pairs advance together, a word of the first at a time."""
     out = np.zeros(len(a), np.int64)
     order = sorted(range(len(a)), key=lambda i: (len(a[i]), len(b[i])))
-    for at in range(0, len(order), LANES):
-        lanes = order[at : at + LANES]
+    at = 0
+    while at < len(order):
+        lanes, wide = [], 0
+        for i in order[at : at + LANES]:
+            wide = max(wide, len(b[i]) + 1)
+            if lanes and wide * (len(lanes) + 1) > CELLS:
+                break
+            lanes.append(i)
+        at += len(lanes)
         x = np.zeros((len(lanes), max(len(a[i]) for i in lanes)), U64)
         y = np.zeros((len(lanes), max(len(b[i]) for i in lanes)), U64)
         inside = np.zeros(x.shape, bool)
@@ -122,8 +134,8 @@ def align(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def aligned(items: Items, w: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all pairs that share a seed: the text, the item's number and the score."""
+def aligned(items: Items, w: Words, n: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all pairs that share a seed and can score `least`: the text, the item's number and the score."""
     at, seed = items.hits(w, n)
     none = np.empty(0, np.int64)
     if not len(at):
@@ -131,17 +143,24 @@ def aligned(items: Items, w: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.
     text, item = w.text_of(at), items.item[seed]
     diagonal = at - items.place[seed]
     order = np.lexsort((diagonal, item, text))
-    text, item, diagonal = text[order], item[order], diagonal[order]
+    text, item, diagonal, few = text[order], item[order], diagonal[order], items.few[seed[order]]
     new = np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > NEAR)))
     start = np.flatnonzero(new)
     end = np.append(start[1:], len(text)) - 1
-    text, item, lo, hi = text[start], item[start], diagonal[start], diagonal[end]
-    a, b = [], []
-    for t, i, x, y in zip(text.tolist(), item.tolist(), lo.tolist(), hi.tolist(), strict=True):
+    text, item, lo, hi, few = text[start], item[start], diagonal[start], diagonal[end], np.logical_or.reduceat(few, start)
+    a, b, able = [], [], np.ones(len(text), bool)
+    for k, (t, i, x, y, rare) in enumerate(zip(text.tolist(), item.tolist(), lo.tolist(), hi.tolist(), few.tolist(), strict=True)):
         own = items.words[i]
         more = len(own) // 4 + n
+        around = w.hash[max(int(w.first[t]), x - more) : min(int(w.first[t + 1]), y + len(own) + more)]
+        if not rare and np.isin(own, around).sum() < least * len(own):
+            able[k] = False
+            continue
         a.append(own)
-        b.append(w.hash[max(int(w.first[t]), x - more) : min(int(w.first[t + 1]), y + len(own) + more)])
+        b.append(around)
+    text, item = text[able], item[able]
+    if not len(text):
+        return none, none, np.empty(0)
     score = align(a, b) / np.array([len(x) for x in a])
     order = np.lexsort((score, item, text))
     last = np.concatenate(((text[order][1:] != text[order][:-1]) | (item[order][1:] != item[order][:-1]), [True]))
@@ -160,7 +179,7 @@ def blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list]:
 
 
 def rare_items(docs: DataFrame, items: DataFrame, n: int) -> Iterator[Items]:
-    """The items with their rare seeds, a block at a time."""
+    """The items with the seeds that documents hold, told rare or not, a block at a time."""
     for rows in blocks(items, "item_id", "text"):
         every = Items.of([r["id"] for r in rows], [r["text"] for r in rows], n)
 
@@ -194,7 +213,7 @@ def pairs(docs: DataFrame, items: DataFrame, n: int = N, least: float = 0.5) ->
             for batch in batches:
                 texts = utf8(batch.column(1))
                 for a, b in parts([len(t) for t in texts], PART):
-                    text, item, score = aligned(rare, words(texts[a:b]), n)
+                    text, item, score = aligned(rare, words(texts[a:b]), n, least)
                     ok = score >= least
                     ids = batch.column(0)[a:b].take(pa.array(text[ok]))
                     yield pa.RecordBatch.from_arrays([ids, pa.array([rare.ids[i] for i in item[ok].tolist()], pa.int64()), pa.array(score[ok], pa.float64())], ["doc_id", "item_id", "score"])
@@ -222,7 +241,7 @@ def clean(docs: DataFrame, items: DataFrame, n: int = N, least: float = 0.5) ->
             for batch in batches:
                 texts, ok = utf8(batch.column(at)), np.ones(len(batch), bool)
                 for a, b in parts([len(t) for t in texts], PART):
-                    text, _, score = aligned(rare, words(texts[a:b]), n)
+                    text, _, score = aligned(rare, words(texts[a:b]), n, least)
                     ok[a + text[score >= least]] = False
                 yield batch.filter(pa.array(ok))
 

@@ -64,3 +64,17 @@ def test_no_rows(spark):
     own = spark.createDataFrame([(5, "a b c d e f")], tests.schema)
     assert [(r.doc_id, r.kept) for r in sorted(decontam.judge(full, own).collect(), key=lambda r: r.doc_id or 0)] == [(None, True), (1, False)]
     assert decontam.clean(full, own).collect() == []
+
+
+def test_hot_edited_copies(spark):
+    """The intact n-grams of a copy that many documents share are seeds, whatever their number."""
+    item = [f"w{i}" for i in range(60)]
+    edited = [f"x{i}" if i % 6 == 5 else w for i, w in enumerate(item)]  # 50 matches and, before the last of them, 9 mismatches
+    part = item[20:52]
+    stock = item[:6]  # too few words of the item
+    docs = [(i, " ".join([f"a{i}", *edited, "b"])) for i in range(1000)] + [(1000 + i, " ".join([*part, f"c{i}"])) for i in range(30)] + [(2000 + i, " ".join([*stock, f"d{i}"])) for i in range(500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.score) for r in decontam.judge(df, tests).collect()}
+    assert got == {d: (True, 41 / 60) if d < 1000 else (True, 32 / 60) if d < 2000 else (False, 0.0) for d, _ in docs}
+    assert {r.doc_id for r in decontam.clean(df, tests).collect()} == {d for d, _ in docs if d >= 2000}
