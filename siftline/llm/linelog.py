@@ -4,7 +4,7 @@ The tree has a fixed depth: the number of tokens, then the leading tokens. Token
 the start. In a leaf, a position whose commonest token holds less than `constant` of the leaf's documents is a variable
 field too, so long as `similar` of all positions stay constant; a line that has another token at a constant position is
 a template of its own. A template found in `min_docs` documents or more recurs. It stays in the document of the
-smallest doc_id and goes from all others.
+smallest doc_id and goes from all others. Lines of fewer than `min_tokens` tokens are in no leaf and always stay.
 
 Only DataFrame operations: lines meet by hashes of leaves, in counts that are combined before they move; the texts of
 lines move only for leaves with enough lines, and whole texts once, to meet the numbers of their dropped lines.
