@@ -1,8 +1,10 @@
 """URL filters: rules on host and path first, then host word segmentation and naive Bayes.
 
 Concatenated names are split into words by Viterbi over a unigram model; a multinomial naive Bayes over the words of
-host and path decides where no rule fits. The unigrams are counts over all urls, and the Bayes counts are those of all
-urls that a rule decides, beside a small list of words known beforehand. Labels of a host or path that a rule itself
+host and path decides where no rule fits. The unigrams are counts over all urls of what stands as a word there: tokens of
+paths and of labels with hyphens. A whole label isn't a word by its own count, nor is what words known beforehand make
+up, or a frequent name would vouch for itself. The Bayes counts are those of all urls that a rule decides, beside a small
+list of words known beforehand. Labels of a host or path that a rule itself
 names are left out, or the model would only learn the rules by heart.
 """
 
@@ -11,7 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -67,13 +69,21 @@ def tokens_of(host: str, path: str) -> list[str]:
     return ["0" if w.isdigit() else w for w in PARTS.split(f"{host}/{path}".lower()) if w]
 
 
+def standing(host: str, path: str) -> set[str]:
+    """The tokens that stand as words: those of the path, and of host labels that separators split."""
+    labels = [tokens_of(x, "") for x in host.split(".")]
+    return {w for x in labels if len(x) > 1 for w in x} | set(tokens_of("", path))
+
+
 @dataclass
 class Model:
-    """words: unigram counts; seen: for each verdict the counts of segmented tokens."""
+    """words: unigram counts; seen: for each verdict the counts of segmented tokens; names: tokens that stay whole where
+    they can't be split into words without a rest."""
 
     words: dict[str, float]
     seen: dict[str, dict[str, float]] = field(default_factory=dict)
     longest: int = 24
+    names: frozenset[str] = frozenset()
 
     def __post_init__(self) -> None:
         self.total = sum(self.words.values()) or 1.0
@@ -82,7 +92,7 @@ class Model:
         self.sums = {v: sum(c.values()) for v, c in self.seen.items()}
 
     def __getstate__(self) -> tuple:
-        return self.words, self.seen, self.longest
+        return self.words, self.seen, self.longest, self.names
 
     def __setstate__(self, state: tuple) -> None:
         self.__init__(*state)
@@ -96,11 +106,28 @@ class Model:
         """The likeliest words of a token of letters; others stay whole."""
         if not token.isalpha() or token in ("0",):
             return (token,)
+        if own := self.split(token):
+            return own
+        if token in self.names:
+            return (token,)
+        return self._likeliest(token, self.cost)
+
+    def split(self, token: str) -> tuple[str, ...]:
+        """The likeliest words of a token without a rest, pieces of 3 letters or more; none if there are none."""
+
+        def cost(w: str) -> float:
+            return self.cost(w) if w in self.words and (len(w) > 2 or w == token) else math.inf
+
+        return self._likeliest(token, cost)
+
+    def _likeliest(self, token: str, cost: Callable[[str], float]) -> tuple[str, ...]:
         best, back = [0.0], [0]
         for j in range(1, len(token) + 1):
-            c, i = min((best[i] + self.cost(token[i:j]), i) for i in range(max(0, j - self.longest), j))
+            c, i = min((best[i] + cost(token[i:j]), i) for i in range(max(0, j - self.longest), j))
             best.append(c)
             back.append(i)
+        if math.isinf(best[-1]):
+            return ()
         out, j = [], len(token)
         while j:
             out.append(token[back[j] : j])
@@ -129,24 +156,27 @@ def fit(pages: DataFrame, rules: Rules, most: int = 50_000, known: float = 0.02)
             for url in batch.column(0).to_pylist():
                 host, path = parts_of(url)
                 verdict = rules(host, path)[1] or ""
-                count.update((t, verdict) for t in tokens_of(host, path) if t not in rules.named and len(t) <= 64)
+                words = standing(host, path)
+                count.update((t, verdict, t in words) for t in tokens_of(host, path) if t not in rules.named and len(t) <= 64)
             if len(count) > 100_000:
                 yield told(count)
                 count = Counter()
         yield told(count)
 
     def told(count: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in count], pa.string()), pa.array([k[1] for k in count], pa.string()), pa.array(list(count.values()), pa.int64())], ["token", "verdict", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in count], pa.string()), pa.array([k[1] for k in count], pa.string()), pa.array([k[2] for k in count], pa.bool_()), pa.array(list(count.values()), pa.int64())], ["token", "verdict", "stands", "n"])
 
-    counted = pages.select("url").mapInArrow(each, "token string, verdict string, n long").groupBy("token").agg(
-        F.sum("n").alias("n"), *(F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)).alias(v) for v in ("block", "allow"))
+    counted = pages.select("url").mapInArrow(each, "token string, verdict string, stands boolean, n long").groupBy("token").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("stands"), F.col("n")).otherwise(0)).alias("standing"), *(F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)).alias(v) for v in ("block", "allow"))
     )
     rows = counted.orderBy(F.desc("n"), "token").limit(most).collect()
     weight = max(5.0, known * sum(r["n"] for r in rows))
-    words = {r["token"]: float(r["n"]) for r in rows if r["token"].isalpha()}
-    for w in (*BLOCKED, *ALLOWED):
+    known_words = Model(dict.fromkeys((*BLOCKED, *ALLOWED), weight))
+    words = {r["token"]: float(r["standing"]) for r in rows if r["token"].isalpha() and r["standing"] and len(known_words.split(r["token"])) < 2}
+    for w in known_words.words:
         words[w] = words.get(w, 0) + weight
-    model = Model(words)
+    names = frozenset(r["token"] for r in rows if r["token"].isalpha())
+    model = Model(words, names=names)
     seen: dict[str, dict[str, float]] = {"block": dict.fromkeys(BLOCKED, weight), "allow": dict.fromkeys(ALLOWED, weight)}
     share = {v: max(1, sum(r[v] for r in rows)) for v in seen}
     least = min(share.values())
@@ -154,7 +184,7 @@ def fit(pages: DataFrame, rules: Rules, most: int = 50_000, known: float = 0.02)
         for w in model.segment(r["token"]):
             for v, own in seen.items():
                 own[w] = own.get(w, 0) + r[v] * least / share[v]
-    return Model(words, seen)
+    return Model(words, seen, names=names)
 
 
 def judge(pages: DataFrame, rules: Rules, model: Model, least: float = 0.9) -> DataFrame:

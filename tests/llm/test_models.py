@@ -99,6 +99,18 @@ def test_segmentation_and_bayes():
     assert model.blocked(["freecasino"]) > 0.9 > 0.1 > model.blocked(["townlibrary"]) and model.blocked([]) == 0.5
 
 
+def test_frequent_names_are_split(spark):
+    """A concatenated name can't vouch for itself, however many urls have it, in the host or in the path."""
+    by = urlfilter.Rules(registry.URL_RULES)
+    urls = ["http://cheappills.example.info/"] * 100 + ["http://townlibrary.example.info/freecasinobonus/"] * 100 + [f"http://winter.site.info/page-{i % 7}/" for i in range(100)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    model = urlfilter.fit(df, by)
+    assert model.segment("cheappills") == ("cheap", "pills") and model.segment("freecasinobonus") == ("free", "casino", "bonus")
+    assert model.segment("winter") == ("winter",)  # not win and a rest
+    got = {(r.host, r.verdict) for r in urlfilter.judge(df, by, model).collect()}
+    assert ("cheappills.example.info", "block") in got and ("winter.site.info", "allow") in got and len(got) == 3
+
+
 def test_ordinal(spark):
     rng = random.Random(3)
     words = {0: "aa bb cc".split(), 1: "dd ee ff".split(), 2: "gg hh ii".split()}
