@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 Rule = tuple[str, str, str]
 LOWER = {i: i + 32 for i in range(65, 91)}
 PARTS = re.compile(r"[^a-z0-9\x80-\U0010ffff]+")
+DIGITS = re.compile(r"[0-9]+|[^0-9]+")
 URL = re.compile(r"[^/?#]*")
 PATH = re.compile(r"[^?#]*")
 
@@ -69,6 +70,11 @@ def tokens_of(host: str, path: str) -> list[str]:
     return ["0" if w.isdigit() else w for w in PARTS.split(f"{host}/{path}".lower()) if w]
 
 
+def pieces(token: str) -> list[str]:
+    """A token cut where letters and digits meet; numbers are all one token."""
+    return ["0" if w.isdigit() else w for w in DIGITS.findall(token)]
+
+
 def standing(host: str, path: str) -> set[str]:
     """The tokens that stand as words: those of the path, and of host labels that separators split."""
     labels = [tokens_of(x, "") for x in host.split(".")]
@@ -138,7 +144,7 @@ class Model:
         """The probability of block, with both verdicts alike likely beforehand."""
         odds = 0.0
         for t in tokens:
-            for w in self.segment(t):
+            for w in (w for x in pieces(t) for w in self.segment(x)):
                 for verdict, sign in (("block", 1), ("allow", -1)):
                     odds += sign * math.log((self.seen[verdict].get(w, 0) + 1) / (self.sums[verdict] + self.vocabulary + 1))
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))
@@ -175,13 +181,13 @@ def fit(pages: DataFrame, rules: Rules, most: int = 50_000, known: float = 0.02)
     words = {r["token"]: float(r["standing"]) for r in rows if r["token"].isalpha() and r["standing"] and len(known_words.split(r["token"])) < 2}
     for w in known_words.words:
         words[w] = words.get(w, 0) + weight
-    names = frozenset(r["token"] for r in rows if r["token"].isalpha())
+    names = frozenset(x for r in rows for x in pieces(r["token"]) if x.isalpha())
     model = Model(words, names=names)
     seen: dict[str, dict[str, float]] = {"block": dict.fromkeys(BLOCKED, weight), "allow": dict.fromkeys(ALLOWED, weight)}
     share = {v: max(1, sum(r[v] for r in rows)) for v in seen}
     least = min(share.values())
     for r in rows:
-        for w in model.segment(r["token"]):
+        for w in (w for x in pieces(r["token"]) for w in model.segment(x)):
             for v, own in seen.items():
                 own[w] = own.get(w, 0) + r[v] * least / share[v]
     return Model(words, seen, names=names)

@@ -99,6 +99,11 @@ def test_segmentation_and_bayes():
     assert model.blocked(["freecasino"]) > 0.9 > 0.1 > model.blocked(["townlibrary"]) and model.blocked([]) == 0.5
 
 
+def test_names_with_digits_are_split():
+    model = urlfilter.Model({"free": 50.0, "casino": 50.0, "cheap": 50.0, "pills": 50.0}, {"block": dict.fromkeys(["free", "casino", "cheap", "pills"], 9.0), "allow": dict.fromkeys(["town", "library", "art", "news"], 9.0)})
+    assert model.blocked(["freecasino88"]) > 0.9 and model.blocked(["cheap4pills"]) > 0.9
+
+
 def test_frequent_names_are_split(spark):
     """A concatenated name can't vouch for itself, however many urls have it, in the host or in the path."""
     by = urlfilter.Rules(registry.URL_RULES)
