@@ -14,13 +14,16 @@ GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset and the executors run on the
+    driver's own machine, a new one there. On a cluster there has to be one."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
         held = sc._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: driver and executors share no folder")
         where = "file://" + tempfile.mkdtemp(prefix="siftline-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(where)
@@ -66,9 +69,27 @@ INSIDE[[0x20, *range(0x09, 0x0E)]] = False
 LOW_BYTES = np.array([U64((1 << 8 * n) - 1) for n in range(8)] + [U64(2**64 - 1)], U64)
 
 
+def eights(raw: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on, as an integer."""
+    return np.ndarray((len(raw) - 8,), "<u8", raw.data, 0, (1,))
+
+
+def equal_slices(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether slices of the same size are equal byte for byte; a and b have 9 bytes more than they reach."""
+    x, y = eights(a), eights(b)
+    ok = (x[a_at] ^ y[b_at]) & LOW_BYTES[np.minimum(size, 8)] == 0
+    at, done = np.flatnonzero(ok & (size > 8)), 8
+    while len(at):
+        same = (x[a_at[at] + done] ^ y[b_at[at] + done]) & LOW_BYTES[np.minimum(size[at] - done, 8)] == 0
+        ok[at[~same]] = False
+        done += 8
+        at = at[same & (size[at] > done)]
+    return ok
+
+
 def slice_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of slices of bytes; raw has 9 bytes more than they reach."""
-    eight = np.ndarray((len(raw) - 8,), "<u8", raw.data, 0, (1,))
+    eight = eights(raw)
     left = end - start
     with np.errstate(over="ignore"):
         h = left.astype(U64) * GOLDEN

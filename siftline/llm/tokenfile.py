@@ -13,6 +13,7 @@ an executor that is lost leaves no half file behind.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import cut, parts, remove, scratch, slice_hashes
+from .common import cut, equal_slices, parts, remove, scratch, slice_hashes
 
 SKIP, TABLE, MAGIC = 0x184D2A50, 0x184D2A5E, b"\xb1\xea\x92\x8f"
 #: Bytes of ids in a frame, and compressed bytes in a file, beyond which a new one begins.
@@ -39,6 +40,10 @@ NO_ID = -(1 << 63)
 #: Bytes of letters in texts of common characters.
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+BLANKS = np.zeros(256, bool)
+BLANKS[[32, *range(9, 14)]] = True
+#: The names that Spark's text sink gives to files: the task's number, then the file's among the task's.
+PART_FILE = re.compile(r"part-([0-9]+)-[^/]*-c([0-9]+)[^/]*$")
 #: Bytes of text that are cut into chunks at a time.
 PART = 1 << 20
 #: Chunks that a worker keeps, of up to LONG bytes; beyond it those go that were not seen for longest.
@@ -145,10 +150,11 @@ def spread(flat: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Fast:
     """The tokenizers library behind a bounded memory of chunks.
 
-    A text of common characters is cut where the tokenizer's own pattern always cuts, before a letter run and after it;
-    a blank goes with the letters behind it. Chunks are told apart by 64-bit hashes, many texts at a time, so that each
-    different one is looked up once. A letter run, one match of the pattern, goes straight to the library's merges; what
-    is between goes through the whole tokenizer, and so do other texts.
+    A text of common characters is cut where the tokenizer's own pattern always cuts: after a letter run, and before it
+    or the one blank in front of it; a space goes with the letters behind it, other blanks are chunks of their own. Chunks are found by 64-bit hashes, many texts at a time, so that each
+    different one is looked up once, and compared byte by byte: what shares a hash but not its bytes with another is
+    tokenized by itself. A letter run, one match of the pattern, goes straight to the library's merges; what is between
+    goes through the whole tokenizer, and so do other texts.
     """
 
     def __init__(self, path: str):
@@ -161,9 +167,11 @@ class Fast:
         self.own.encode_special_tokens = True
         self.merges = self.own.model.tokenize
         self.letters = byte_letters()
-        #: Known chunks, by hash: where their ids begin in `flat`, how many there are, and the turn that saw them last.
+        #: Known chunks, by hash: where their ids begin in `flat`, how many there are, the turn that saw them last, and
+        #: where their bytes begin in `text` and how many there are.
         self.keys, self.at, self.size, self.seen = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
         self.flat = np.empty(0, "<u4")
+        self.text_at, self.long, self.text = np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(9, np.uint8)
         self.turn = 0
 
     def whole(self, text: str) -> bytes:
@@ -174,12 +182,20 @@ class Fast:
             return [t.id for t in self.merges(c.decode("latin-1").translate(self.letters))]
         return self.own.encode(c.decode(), add_special_tokens=False).ids if c != b"\0" else []
 
-    def places(self, keys: np.ndarray, data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def places(self, keys: np.ndarray, data: bytes, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, and where those of each chunk begin there and how many they are. keys are sorted and distinct."""
         near = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        known = self.keys[near] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        taken = self.keys[near] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        known, long = taken.copy(), end - start
+        own = np.flatnonzero(taken)
+        fits = self.long[near[own]] == long[own]
+        known[own[~fits]] = False
+        own = own[fits]
+        known[own] = equal_slices(raw, start[own], self.text, self.text_at[near[own]], long[own])
+        # What stays known comes first, so that its ids are one piece.
         more = np.flatnonzero(~known)
-        more = more[np.argsort(end[more] - start[more] > LONG, kind="stable")]
+        stays = ~taken[more] & (long[more] <= LONG)
+        more = more[np.argsort(~stays, kind="stable")]
         found = [self.chunk(data[a:b]) for a, b in zip(start[more].tolist(), end[more].tolist(), strict=True)]
         at, size = np.empty(len(keys), np.int64), np.empty(len(keys), np.int32)
         at[known], size[known] = self.at[near[known]], self.size[near[known]]
@@ -188,16 +204,24 @@ class Fast:
         flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(found), "<u4", int(size[more].sum(dtype=np.int64)))))
         self.turn += 1
         self.seen[near[known]] = self.turn
-        more = more[end[more] - start[more] <= LONG]
+        more = more[: int(stays.sum())]
         self.flat = flat[: int(at[more[-1]] + size[more[-1]]) if len(more) else len(self.flat)]
-        order = np.argsort(own := np.concatenate((self.keys, keys[more])), kind="stable")
-        self.keys, self.at, self.size, self.seen = (np.concatenate(x)[order] for x in ((own,), (self.at, at[more]), (self.size, size[more]), (self.seen, np.full(len(more), self.turn, np.int32))))
+        held = len(self.text) - 9
+        text = spread(raw, start[more], long[more])
+        self.text = np.concatenate((self.text[:held], text, np.zeros(9, np.uint8)))
+        text_at = held + np.cumsum(long[more], dtype=np.int64) - long[more]
+        order = np.argsort(every := np.concatenate((self.keys, keys[more])), kind="stable")
+        new = ((self.at, at[more]), (self.size, size[more]), (self.seen, np.full(len(more), self.turn, np.int32)), (self.text_at, text_at), (self.long, long[more]))
+        self.keys = every[order]
+        self.at, self.size, self.seen, self.text_at, self.long = (np.concatenate(x)[order] for x in new)
         if len(self.keys) > KEPT:
             stay = np.argsort(-self.seen, kind="stable")[: KEPT // 2]
             stay.sort()
-            self.keys, self.size, self.seen = self.keys[stay], self.size[stay], self.seen[stay]
+            self.keys, self.size, self.seen, self.long = self.keys[stay], self.size[stay], self.seen[stay], self.long[stay]
             self.flat = spread(self.flat, self.at[stay], self.size)
             self.at = np.cumsum(self.size, dtype=np.int64) - self.size
+            self.text = np.concatenate((spread(self.text, self.text_at[stay], self.long), np.zeros(9, np.uint8)))
+            self.text_at = np.cumsum(self.long, dtype=np.int64) - self.long
         return flat, at, size
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -219,17 +243,24 @@ class Fast:
         begin, end = edges[::2], edges[1::2]
         stop = np.cumsum([len(t) + 1 for t in texts]) - 1
         cut = np.zeros(n + 1, bool)
-        cut[begin - ((begin > 0) & (raw[begin - 1] == 32))] = True
+        before = np.where(begin > 0, raw[begin - 1], 0)
+        cut[begin - BLANKS[before]] = True
+        cut[begin[before != 32]] = True
         cut[end] = cut[stop] = cut[stop + 1] = cut[0] = True
         start = np.flatnonzero(cut[:n])
         end = np.append(start[1:], n)
         keys, at, which = np.unique(slice_hashes(raw, start, end), return_index=True, return_inverse=True)
-        flat, first, size = self.places(keys, data, start[at], end[at])
+        # Texts with chunks that share a hash with others of this part but not their bytes are tokenized whole.
+        same = at[which]
+        fits = end - start == (end - start)[same]
+        fits[fits] = equal_slices(raw, start[fits], raw, start[same[fits]], (end - start)[fits])
+        alone = set(np.searchsorted(stop, start[~fits]).tolist())
+        flat, first, size = self.places(keys, data, raw, start[at], end[at])
         own = size[which]
         raw_ids = spread(flat, first[which], own).tobytes()
         place = np.cumsum(own, dtype=np.int64)
         bounds = 4 * np.concatenate(([0], (place - own)[np.searchsorted(start, stop)]))
-        return [raw_ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        return [self.whole(texts[i].decode()) if i in alone else raw_ids[a:b] for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))]
 
 
 _fast: dict[str, Fast] = {}
@@ -307,6 +338,11 @@ def read_tokens(spark: SparkSession, at: str, wanted: list[int] | None = None) -
     return from_files(spark, at, "ids binary", lambda ids: (ids,), wanted)
 
 
+def in_order(file: str) -> tuple[int, ...]:
+    """The numbers of a file's range and of its place there. As text, part-100000 would come before part-99999."""
+    return tuple(int(x) for x in PART_FILE.search(file).groups())
+
+
 def digests(df: DataFrame, path: str, to: str | None = None) -> DataFrame:
     """Writes df's ids with an end id 0, reads the files back and returns doc_id, start, n_tokens, ids_crc32 from them."""
     spark = df.sparkSession
@@ -319,7 +355,7 @@ def digests(df: DataFrame, path: str, to: str | None = None) -> DataFrame:
     if to is None:
         remove(spark, at)
     # Files are as many as ranges of documents, not as documents: their totals come to the driver.
-    totals = sorted(rows.groupBy("file").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("least"), F.sum("n_tokens").alias("n")).collect(), key=lambda r: (r["file"].rsplit("/", 1)[-1]))
+    totals = sorted(rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).collect(), key=lambda r: in_order(r["file"]))
     base, before = [], 0
     for r in totals:
         base.append((r["file"], before))

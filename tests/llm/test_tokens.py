@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from siftline.llm import bpe, tokenfile
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
-ODD = ["", " ", "a", "don't you'll 'tis ('s", "x" * 3000, " \n\n  a\t b", "日本語 テスト", "½²³ a²", "a\x1cb\x85c\xa0d", "é́x", "naïve café's", "aaaa bbbb" * 50, "<|endoftext|>", "1 23 4567,89..!!", "\r\n\r\n x", "a  b   c    "]
+ODD = ["", " ", "a", "don't you'll 'tis ('s", "x" * 3000, " \n\n  a\t b", "日本語 テスト", "½²³ a²", "a\x1cb\x85c\xa0d", "é́x", "naïve café's", "aaaa bbbb" * 50, "<|endoftext|>", "1 23 4567,89..!!", "\r\n\r\n x", "a  b   c    ", "\n\na", "12\n\n\nb .\t\tc\n d\n\n  e"]
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +112,33 @@ def test_digests(spark, own):
 def test_column(spark):
     got = bpe.add_tokens(spark.createDataFrame([("a b", 1), (None, 2)], "text string, token_ids_ int"), RANKS, P.PATTERN).collect()
     assert [bpe.decoded(RANKS, P.PATTERN)(r.token_ids) for r in got] == [b"a b", b""]
+
+
+def test_chunks_that_share_a_hash(spark, monkeypatch):
+    """With a hash of few values, chunks meet others in the memory and in their own part; the ids don't change."""
+    monkeypatch.setattr(tokenfile, "slice_hashes", lambda raw, start, end: ((end - start) % 3).astype(np.uint64))
+    f, t = tokenfile.Fast(JSON), Tokenizer.from_file(JSON)
+    t.encode_special_tokens = True
+    for texts in (["one two six"], ["ten one", "red dog ran far away", "six"], [*ODD, "two one"], ["ab cd " * 200, "ef"]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in f.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_order_of_files():
+    names = [f"file:/x/part-{task:05d}-0a-1b-c{k:03d}.txt" for task in (0, 9, 10, 99999, 100000) for k in (0, 999, 1000)]
+    assert sorted(names[::-1], key=tokenfile.in_order) == names and sorted(names) != names
+
+
+def test_many_ranges(spark, tmp_path):
+    """Ranges in more than one digit."""
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    texts = {i: f"text {i} " * (i % 17) for i in range(300)}
+    df = spark.createDataFrame([(i, x) for i, x in texts.items()], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in tokenfile.digests(df, JSON, f"file://{tmp_path}/t").collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    files = [p.name for p in (tmp_path / "t").glob("part-*")]
+    assert len({tokenfile.in_order(f)[0] for f in files}) > 10
+    t, start = Tokenizer.from_file(JSON), 0
+    for i, x in texts.items():
+        n = len(t.encode(x, add_special_tokens=False).ids) + 1
+        assert (got[i].start, got[i].n_tokens) == (start, n)
+        start += n
