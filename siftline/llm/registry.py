@@ -94,17 +94,15 @@ SELECT w.doc_id, length(ws) AS n_words, coalesce(lost, 0) AS n_removed, sha256(c
 OP9 = f"""WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
 t AS (SELECT doc_id, line_no, {WORDS.format("regexp_replace(line, '[^ \\t-\\r]*[0-9][^ \\t-\\r]*', '<*>', 'g')")} AS ts FROM l),
 k AS (SELECT doc_id, line_no, ts, length(ts) || ' ' || array_to_string(ts[1:4], ' ') AS leaf, array_to_string(ts, ' ') AS own FROM t WHERE length(ts) >= 5),
-f AS (SELECT leaf FROM k GROUP BY 1 HAVING count(*) >= 3),
-o AS (SELECT leaf, own, any_value(ts) AS ts, count(DISTINCT doc_id) AS docs FROM k WHERE leaf IN (SELECT leaf FROM f) GROUP BY 1, 2),
-x AS (SELECT leaf, sum(docs) AS of FROM o GROUP BY 1 HAVING count(*) > 1),
-a AS (SELECT o.leaf, own, docs, of, length(ts) AS size, generate_subscripts(ts, 1) AS pos, unnest(ts) AS token FROM o JOIN x ON o.leaf = x.leaf),
-c AS (SELECT leaf, pos, size, of, token, sum(docs) AS docs FROM a GROUP BY ALL),
-p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY leaf, pos ORDER BY docs DESC, token DESC) AS n FROM c) WHERE n = 1 AND docs >= 0.9 * of),
-v AS (SELECT leaf, count(*) AS fixed FROM p GROUP BY leaf, size HAVING count(*) >= 0.6 * size),
-g AS (SELECT a.leaf, a.own FROM a JOIN p ON a.leaf = p.leaf AND a.pos = p.pos AND a.token = p.token JOIN v ON v.leaf = a.leaf GROUP BY a.leaf, a.own, fixed HAVING count(*) = fixed),
-y AS (SELECT k.doc_id, k.line_no, CASE WHEN g.own IS NULL THEN 'own ' || k.own ELSE 'leaf ' || k.leaf END AS key FROM k JOIN f ON k.leaf = f.leaf LEFT JOIN g ON k.leaf = g.leaf AND k.own = g.own),
-r AS (SELECT key, min(doc_id) AS first FROM y GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3),
-d AS (SELECT DISTINCT doc_id, line_no FROM y JOIN r ON y.key = r.key WHERE doc_id > first),
+o AS (SELECT leaf, own, any_value(ts) AS ts, count(DISTINCT doc_id) AS docs FROM k GROUP BY 1, 2),
+a AS (SELECT leaf, own, docs, generate_subscripts(ts, 1) AS pos, unnest(ts) AS token FROM o),
+c AS (SELECT leaf, pos, token, sum(docs) AS held FROM a GROUP BY ALL),
+b AS (SELECT a.leaf, a.own, a.pos, a.token, held FROM a JOIN c ON a.leaf = c.leaf AND a.pos = c.pos AND a.token = c.token),
+v AS (SELECT leaf, own, list_sort(list(held), 'DESC')[ceil(0.6 * count(*))::INT] AS level FROM b GROUP BY 1, 2),
+g AS (SELECT b.leaf, b.own, string_agg(CASE WHEN level < 3 OR held >= 0.9 * level THEN token ELSE '<*>' END, ' ' ORDER BY pos) AS key FROM b JOIN v ON b.leaf = v.leaf AND b.own = v.own GROUP BY 1, 2),
+y AS (SELECT k.doc_id, k.line_no, k.leaf, g.key FROM k JOIN g ON k.leaf = g.leaf AND k.own = g.own),
+r AS (SELECT leaf, key, min(doc_id) AS first FROM y GROUP BY 1, 2 HAVING count(DISTINCT doc_id) >= 3),
+d AS (SELECT DISTINCT doc_id, line_no FROM y JOIN r ON y.leaf = r.leaf AND y.key = r.key WHERE doc_id > first),
 z AS (SELECT l.doc_id, count(*) AS n_lines, count(d.line_no) AS n_dropped, string_agg(line, chr(10) ORDER BY l.line_no) FILTER (d.line_no IS NULL) AS kept FROM l LEFT JOIN d ON l.doc_id = d.doc_id AND l.line_no = d.line_no GROUP BY 1)
 SELECT q.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, CASE WHEN q.text IS NULL THEN NULL ELSE sha256(coalesce(kept, '')) END AS kept_sha256 FROM documents q LEFT JOIN z ON q.doc_id = z.doc_id"""
 
