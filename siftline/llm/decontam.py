@@ -32,7 +32,7 @@ RARER, FLOOR = 4, 20
 BLOCK, PART = 1 << 20, 1 << 22
 #: Seeds of an item whose diagonals differ by up to this many words are aligned together.
 NEAR = 32
-#: Regions that are aligned at a time, and their cells beyond one region.
+#: Pairs that are aligned at a time, and cells in a row of all of them, beyond one pair.
 LANES, CELLS = 512, 1 << 20
 
 INSIDE = np.zeros(256, bool)
@@ -109,7 +109,7 @@ def align(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     while at < len(order):
         lanes, wide = [], 0
         for i in order[at : at + LANES]:
-            wide = max(wide, len(b[i]) + 1)
+            wide = max(wide, len(a[i]), len(b[i]) + 1)
             if lanes and wide * (len(lanes) + 1) > CELLS:
                 break
             lanes.append(i)

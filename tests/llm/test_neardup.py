@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from siftline.llm import neardup
 from siftline.llm.components import roots
@@ -67,6 +68,33 @@ def test_blocks(spark, monkeypatch):
     assert {r.doc_id: ([r.n_shingles], r.component_id) for r in got} == brute(docs, 85)
 
 
+def test_rows_of_blocks(spark):
+    """20,000 members with one stray make a row each, and the stray one for each block; half strays a few each."""
+    for strays, most in ((1, 1.1), (10, 1.1), (10_000, 21)):
+        members = spark.range(20_000).select(F.lit(5).alias("key"), F.lit(0).alias("band"), "id", F.when(F.col("id") < strays, F.col("id")).otherwise(F.lit(strays)).alias("comp"))
+        out = neardup.blocked(members, spark.createDataFrame([(5,)], "key int"))
+        assert out.columns == ["i", "j", "mine", "key", "band", "id", "comp"]
+        blocks = out.groupBy("i", "j").count().agg(F.sum("count"), F.max("count")).first()
+        assert blocks[0] <= most * 20_000 and blocks[1] < 2 * neardup.BLOCK * 1.3, blocks
+
+
+def test_pairs_of_blocks(spark, monkeypatch):
+    """Each pair of members of different components meets in one block, once."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    rows = [(k, 0, i, 3 if i % 3 else i) for k, n in ((1, 30), (2, 5), (3, 2)) for i in range(n)]
+    out = neardup.blocked(spark.createDataFrame(rows, "key int, band int, id long, comp long"), spark.createDataFrame([(1,), (2,), (3,)], "key int")).collect()
+    held = collections.defaultdict(list)
+    for r in out:
+        held[r.key, r.i, r.j].append(r)
+    met = collections.Counter()
+    for (key, i, j), own in held.items():
+        for a in own:
+            for b in own:
+                if a.comp != b.comp and (a.id > b.id if i == j else a.mine and not b.mine):
+                    met[key, min(a.id, b.id), max(a.id, b.id)] += 1
+    assert met == {(k, a, b): 1 for k, _, a, x in rows for l, _, b, y in rows if k == l and a < b and x != y}
+
+
 def test_odd_rows(spark):
     schema = "doc_id long, text string"
     assert neardup.groups(spark.createDataFrame([], schema)).collect() == []

@@ -46,3 +46,23 @@ def test_odd_documents(spark):
             assert docs.dtypes == df.dtypes
         docs = corpus_pipeline.decontam.clean(docs, tests)
         corpus_pipeline.token_ids(spark, docs, SF).collect()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
+def test_no_stage_is_computed_twice(spark, monkeypatch):
+    """Each document passes through each stage once; the rows are those of the stages one by one."""
+    count = {name: spark.sparkContext.accumulator(0) for name, _ in corpus_pipeline.STAGES[:3]}
+
+    def counting(name, stage):
+        def each(batches):
+            for b in batches:
+                count[name].add(b.num_rows)
+                yield b
+
+        return lambda spark, docs, sf: stage(spark, docs, sf).mapInArrow(each, docs.schema)
+
+    stages = [(n, counting(n, f) if n in count else f) for n, f in corpus_pipeline.STAGES]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    got = corpus_pipeline.run(spark, SF)
+    n = got.count()
+    assert 0 < n <= count["near_duplicates"].value <= count["lines"].value == count["language"].value <= spark.read.parquet(f"{SF}/documents.parquet").count()
