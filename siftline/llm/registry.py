@@ -47,7 +47,7 @@ URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net"
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, by = spark.read.parquet(f"{sf_dir}/pages.parquet"), urlfilter.Rules(URL_RULES)
-    return urlfilter.judge(pages, by, urlfilter.fit(pages, by)).drop("blocked")
+    return urlfilter.judge(pages, by, urlfilter.fit(pages, by, text="html")).drop("blocked")
 
 
 def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """URL filters: rules on host and path first, then host word segmentation and naive Bayes.
 
 Concatenated names are split into words by Viterbi over a unigram model; a multinomial naive Bayes over the words of
-host and path decides where no rule fits. The unigrams are counts over all urls of what stands as a word there: tokens of
-paths and of labels with hyphens. A whole label isn't a word by its own count, nor is what words known beforehand make
-up, or a frequent name would vouch for itself. The Bayes counts are those of all urls that a rule decides, beside a small
-list of words known beforehand. Labels of a host or path that a rule itself
-names are left out, or the model would only learn the rules by heart.
+host and path decides where no rule fits. All of it is learned from the pages: the unigrams are counts of what stands as
+a word, that is tokens of paths, of host labels with hyphens and of the pages' texts. A whole label isn't a word by its
+own count, or a frequent name would vouch for itself; what words don't cover stays whole. The Bayes counts are those of
+the segmented tokens of all urls that a rule decides. Labels of a host or path that a rule itself names are left out, or
+the model would only learn the rules by heart.
+
+All tokens are counted, at every size. The model takes those that make up a share of `share` of all and are seen `least`
+times, so it has 1 / share entries at most, whatever the input, and no verdict turns on a rare token.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -21,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: (host, path, verdict)
 Rule = tuple[str, str, str]
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -29,8 +34,9 @@ DIGITS = re.compile(r"[0-9]+|[^0-9]+")
 URL = re.compile(r"[^/?#]*")
 PATH = re.compile(r"[^?#]*")
 
-BLOCKED = "adult bet bonus casino cheap cialis coupon crack dating escort farm free gamble hack jackpot keygen loan lottery nude payday pill pills poker porn prize replica scam sex slots spam torrent viagra warez win xxx".split()
-ALLOWED = "academy archive art blog book books city college community docs edu education forum garden gov health help history home journal kids lab learn library local magazine museum music nature news paper park people radio research review school science society sport story study support team travel university web wiki world www".split()
+TAG, TEXT_WORD = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>"), re.compile(r"[a-z\x80-\U0010ffff]+")
+#: Tokens up to this length are remembered once segmented.
+REMEMBERED = 64
 
 
 def parts_of(url: str | None) -> tuple[str, str]:
@@ -83,120 +89,129 @@ def standing(host: str, path: str) -> set[str]:
 
 @dataclass
 class Model:
-    """words: unigram counts; seen: for each verdict the counts of segmented tokens; names: tokens that stay whole where
-    they can't be split into words without a rest."""
+    """words: unigram counts, of `total` words; seen: the weighted counts of segmented tokens in blocked and allowed urls,
+    and sums, those of all tokens there, rare ones too."""
 
     words: dict[str, float]
-    seen: dict[str, dict[str, float]] = field(default_factory=dict)
+    seen: dict[str, tuple[float, float]] = field(default_factory=dict)
+    total: float = 0.0
+    sums: tuple[float, float] = (0.0, 0.0)
     longest: int = 24
-    names: frozenset[str] = frozenset()
 
     def __post_init__(self) -> None:
-        self.total = sum(self.words.values()) or 1.0
-        self.segment = lru_cache(200_000)(self._segment)
-        self.vocabulary = len(set().union(*self.seen.values())) if self.seen else 0
-        self.sums = {v: sum(c.values()) for v, c in self.seen.items()}
+        self.total = self.total or sum(self.words.values()) or 1.0
+        if not any(self.sums):
+            self.sums = (sum(b for b, _ in self.seen.values()), sum(a for _, a in self.seen.values()))
+        self.remembered = lru_cache(100_000)(self.split)
 
     def __getstate__(self) -> tuple:
-        return self.words, self.seen, self.longest, self.names
+        return self.words, self.seen, self.total, self.sums, self.longest
 
     def __setstate__(self, state: tuple) -> None:
         self.__init__(*state)
 
-    def cost(self, w: str) -> float:
-        if (n := self.words.get(w)) is not None:
-            return math.log(self.total / n)
-        return math.log(self.total) + 4.0 * len(w)  # unknown: the longer, the less likely
-
-    def _segment(self, token: str) -> tuple[str, ...]:
-        """The likeliest words of a token of letters; others stay whole."""
-        if not token.isalpha() or token in ("0",):
-            return (token,)
-        if own := self.split(token):
-            return own
-        if token in self.names:
-            return (token,)
-        return self._likeliest(token, self.cost)
+    def segment(self, token: str) -> tuple[str, ...]:
+        """The likeliest words of a token of letters; what words don't cover, and other tokens, stay whole."""
+        return self.remembered(token) if len(token) <= REMEMBERED else self.split(token)
 
     def split(self, token: str) -> tuple[str, ...]:
-        """The likeliest words of a token without a rest, pieces of 3 letters or more; none if there are none."""
-
-        def cost(w: str) -> float:
-            return self.cost(w) if w in self.words and (len(w) > 2 or w == token) else math.inf
-
-        return self._likeliest(token, cost)
-
-    def _likeliest(self, token: str, cost: Callable[[str], float]) -> tuple[str, ...]:
+        if not token.isalpha():
+            return (token,)
         best, back = [0.0], [0]
         for j in range(1, len(token) + 1):
-            c, i = min((best[i] + cost(token[i:j]), i) for i in range(max(0, j - self.longest), j))
+            c, i = math.inf, 0
+            for k in range(max(0, j - self.longest), j):
+                if (n := self.words.get(token[k:j])) is not None and (own := best[k] + math.log(self.total / n)) < c:
+                    c, i = own, k
             best.append(c)
             back.append(i)
         if math.isinf(best[-1]):
-            return ()
+            return (token,)
         out, j = [], len(token)
         while j:
             out.append(token[back[j] : j])
             j = back[j]
         return tuple(reversed(out))
 
+    def features(self, tokens: list[str]) -> list[str]:
+        return [w for t in tokens for x in pieces(t) for w in self.segment(x)]
+
     def blocked(self, tokens: list[str]) -> float:
-        """The probability of block, with both verdicts alike likely beforehand."""
-        odds = 0.0
-        for t in tokens:
-            for w in (w for x in pieces(t) for w in self.segment(x)):
-                for verdict, sign in (("block", 1), ("allow", -1)):
-                    odds += sign * math.log((self.seen[verdict].get(w, 0) + 1) / (self.sums[verdict] + self.vocabulary + 1))
+        """The probability of block, with both verdicts alike likely beforehand. Tokens that the model doesn't have tell
+        nothing."""
+        odds, more = 0.0, len(self.seen) + 1
+        for w in self.features(tokens):
+            if (n := self.seen.get(w)) is not None:
+                odds += math.log((n[0] + 1) / (self.sums[0] + more)) - math.log((n[1] + 1) / (self.sums[1] + more))
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))
 
 
-def fit(pages: DataFrame, rules: Rules, most: int = 50_000, known: float = 0.02) -> Model:
-    """Counts tokens over all urls by the verdict of their rule; the `most` frequent tokens make the model.
+def words_in(html: str | None) -> list[str]:
+    """Runs of letters in a page's text, lower-cased."""
+    return TEXT_WORD.findall(TAG.sub(" ", html).lower()) if html else []
 
-    Words known beforehand weigh as `known` of all counted tokens each, 5 at least.
+
+def fit(pages: DataFrame, rules: Rules, text: str | None = None, share: float = 1 / 250_000, least: int = 20) -> Model:
+    """Counts over all urls, and over the texts of the pages in column `text` if there is one.
+
+    Single letters aren't words. A verdict's counts weigh so that both verdicts have as many tokens. Null urls and texts count nothing; without urls that rules
+    block and others that they allow, the model tells nothing.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count: Counter = Counter()
+        stands, count = Counter(), Counter()
         for batch in batches:
-            for url in batch.column(0).to_pylist():
+            for i, url in enumerate(batch.column(0).to_pylist()):
                 host, path = parts_of(url)
                 verdict = rules(host, path)[1] or ""
-                words = standing(host, path)
-                count.update((t, verdict, t in words) for t in tokens_of(host, path) if t not in rules.named and len(t) <= 64)
-            if len(count) > 100_000:
-                yield told(count)
-                count = Counter()
-        yield told(count)
-
-    def told(count: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in count], pa.string()), pa.array([k[1] for k in count], pa.string()), pa.array([k[2] for k in count], pa.bool_()), pa.array(list(count.values()), pa.int64())], ["token", "verdict", "stands", "n"])
-
-    counted = pages.select("url").mapInArrow(each, "token string, verdict string, stands boolean, n long").groupBy("token").agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("stands"), F.col("n")).otherwise(0)).alias("standing"), *(F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)).alias(v) for v in ("block", "allow"))
-    )
-    rows = counted.orderBy(F.desc("n"), "token").limit(most).collect()
-    weight = max(5.0, known * sum(r["n"] for r in rows))
-    known_words = Model(dict.fromkeys((*BLOCKED, *ALLOWED), weight))
-    words = {r["token"]: float(r["standing"]) for r in rows if r["token"].isalpha() and r["standing"] and len(known_words.split(r["token"])) < 2}
-    for w in known_words.words:
-        words[w] = words.get(w, 0) + weight
-    names = frozenset(x for r in rows for x in pieces(r["token"]) if x.isalpha())
-    model = Model(words, names=names)
-    seen: dict[str, dict[str, float]] = {"block": dict.fromkeys(BLOCKED, weight), "allow": dict.fromkeys(ALLOWED, weight)}
-    share = {v: max(1, sum(r[v] for r in rows)) for v in seen}
-    least = min(share.values())
-    for r in rows:
-        for w in (w for x in pieces(r["token"]) for w in model.segment(x)):
-            for v, own in seen.items():
-                own[w] = own.get(w, 0) + r[v] * least / share[v]
-    return Model(words, seen, names=names)
+                tokens = [t for t in tokens_of(host, path) if t not in rules.named]
+                stands.update(w for w in standing(host, path) if len(w) > 1 and w.isalpha() and w not in rules.named)
+                if verdict:
+                    count.update((t, verdict) for t in tokens)
+                if text and (html := batch.column(1)[i].as_py()):
+                    stands.update(w for w in words_in(html) if len(w) > 1)
+                if len(count) + len(stands) > 200_000:
+                    yield told(stands, count)
+                    stands, count = Counter(), Counter()
+        yield told(stands, count)
+
+    def told(stands: Counter, count: Counter) -> pa.RecordBatch:
+        n, m = len(stands), len(count)
+        columns = [[*stands, *(t for t, _ in count)], [*stands.values(), *[0] * m], *([*[0] * n, *(c if v == w else 0 for (_, v), c in count.items())] for w in ("block", "allow"))]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.int64()) for c in columns[1:])], ["token", "stands", "block", "allow"])
+
+    own = pages.select("url", *([text] if text else []))
+    counted = cut(own.mapInArrow(each, "token string, stands long, block long, allow long").groupBy("token").agg(*(F.sum(c).alias(c) for c in ("stands", "block", "allow"))))
+    total = counted.agg(F.sum("stands")).first()[0] or 0
+    words = {r["token"]: float(r["stands"]) for r in counted.where(F.col("stands") >= max(least, share * total)).select("token", "stands").collect()}
+    model = Model(words, total=float(total))
+
+    def segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list[int]] = {}
+            for t, b, a in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for w in model.features([t]):
+                    held = out.setdefault(w, [0, 0])
+                    held[0] += b
+                    held[1] += a
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), *(pa.array([x[i] for x in out.values()], pa.int64()) for i in (0, 1))], ["word", "block", "allow"])
+
+    seen = counted.where("block + allow > 0").select("token", "block", "allow").mapInArrow(segmented, "word string, block long, allow long").groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
+    seen = cut(seen)
+    sums = seen.agg(F.coalesce(F.sum("block"), F.lit(0)), F.coalesce(F.sum("allow"), F.lit(0))).first()
+    if not all(sums):
+        return model
+    rows = seen.where(F.col("block") + F.col("allow") >= max(least, share * sum(sums))).collect()
+    weight = [min(sums) / x for x in sums]
+    return Model(words, {r["word"]: (r["block"] * weight[0], r["allow"] * weight[1]) for r in rows}, float(total), (float(min(sums)),) * 2)
 
 
 def judge(pages: DataFrame, rules: Rules, model: Model, least: float = 0.9) -> DataFrame:
-    """page_id, host, path, rule, verdict and blocked (the model's probability) for each row of pages.
+    """page_id, host, path, rule, verdict and blocked (the model's probability) for each row of pages, rows that share a
+    page_id too; none for an empty table.
 
-    Without a rule, a page is blocked from a probability of `least`. A null url has neither host nor path and is allowed.
+    Without a rule, a page is blocked from a probability of `least`. A null url, or one without ://, has neither host nor
+    path and is allowed. Urls of any length are read to their end.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

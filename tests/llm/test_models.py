@@ -1,5 +1,8 @@
 """Language ID, url filter and ordinal quality: odd rows, brute force for what is exact, held-out accuracy for models."""
 
+import collections
+import functools
+import math
 import os
 import random
 import re
@@ -94,26 +97,104 @@ def test_url_rules(spark):
 
 
 def test_segmentation_and_bayes():
-    model = urlfilter.Model({"free": 50.0, "casino": 50.0, "town": 50.0, "library": 50.0, "a": 5.0}, {"block": {"free": 9.0, "casino": 9.0}, "allow": {"town": 9.0, "library": 9.0}})
+    model = urlfilter.Model({"free": 50.0, "casino": 50.0, "town": 50.0, "library": 50.0, "win": 9.0}, {"free": (9.0, 0.0), "casino": (9.0, 0.0), "town": (0.0, 9.0), "library": (0.0, 9.0)})
     assert model.segment("freecasino") == ("free", "casino") and model.segment("townlibrary") == ("town", "library") and model.segment("x1") == ("x1",)
-    assert model.blocked(["freecasino"]) > 0.9 > 0.1 > model.blocked(["townlibrary"]) and model.blocked([]) == 0.5
+    assert model.segment("winter") == ("winter",)  # not win and a rest
+    assert model.blocked(["freecasino"]) > 0.9 > 0.1 > model.blocked(["townlibrary"]) and model.blocked([]) == model.blocked(["unseen"]) == 0.5
+    assert model.blocked(["freecasino88"]) > 0.9 and model.blocked(["free4casino"]) > 0.9
+    assert model.segment("freecasino" * 30_000) == ("free", "casino") * 30_000
+
+
+LEARNED = [("bad.com", "", "block"), ("ill.net", "", "block"), ("good.com", "", "allow"), ("fine.net", "", "allow")]
+
+
+def learned_urls(rng):
+    """Pages that rules decide, whose hosts are put together from two words; and other hosts of the same words."""
+    of = {"block": "cheap pills casino bonus poker torrent".split(), "allow": "town library museum garden school choir".split()}
+    names = {v: [a + b for a in w for b in w if a != b] for v, w in of.items()}
+    for own in names.values():
+        rng.shuffle(own)
+    rows = []
+    for v, hosts in (("block", ["bad.com", "ill.net"]), ("allow", ["good.com", "fine.net"])):
+        rows += [(f"http://{rng.choice(names[v][:20])}.{rng.choice(hosts)}/{rng.choice('abc')}/{rng.randrange(99)}", " ".join(rng.sample(sum(of.values(), []), 6))) for _ in range(300)]
+        rows += [(f"http://{name}.elsewhere.org/", f"<p>{v}</p>") for name in names[v][20:]]
+    return rows, {f"{name}.elsewhere.org": v for v, own in names.items() for name in own[20:]}
+
+
+def test_unseen_names_are_judged_by_their_words(spark):
+    rows, want = learned_urls(random.Random(1))
+    hot = [("http://cheappills.hot.info/", None)] * 500  # its own count can't vouch for it
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows + hot)], "page_id long, url string, html string")
+    by = urlfilter.Rules(LEARNED)
+    model = urlfilter.fit(df, by, text="html")
+    assert model.segment("cheappills") == ("cheap", "pills")
+    got = {r.host: r.verdict for r in urlfilter.judge(df, by, model).collect()}
+    assert {h: got[h] for h in want} == want and got["cheappills.hot.info"] == "block"
+
+
+def brute_model(pages, rules, share=1 / 250_000, least=20):
+    """The url model by its definition, in plain Python: (words, total, seen, sums)."""
+    named = {w for h, p, _ in rules for w in re.split(r"[^a-z0-9\x80-\U0010ffff]+", f"{h}/{p}".lower()) if w}
+    cut = lambda x: ["0" if w.isdigit() else w for w in re.split(r"[^a-z0-9\x80-\U0010ffff]+", x.lower()) if w]
+    stands, seen = collections.Counter(), {"block": collections.Counter(), "allow": collections.Counter()}
+    judged = []
+    for url, html in pages:
+        host, path, _, verdict = brute_rule(url, rules)
+        tokens = [t for t in cut(f"{host}/{path}") if t not in named]
+        judged.append((tokens, verdict))
+        for w in set(cut(path)).union(*(cut(x) for x in host.split(".") if len(cut(x)) > 1)):
+            stands[w] += len(w) > 1 and w.isalpha() and w not in named
+        text = re.sub(r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ", html or "").lower()
+        stands.update(w for w in re.findall(r"[a-z\x80-\U0010ffff]+", text) if len(w) > 1)
+    total = sum(stands.values())
+    words = {w: n for w, n in stands.items() if n >= max(least, share * total)}
+
+    @functools.cache
+    def best(token):  # (cost, words) of all ways to cut it
+        ways = [(0.0, ())] if not token else []
+        for i in range(1, min(24, len(token)) + 1):
+            if token[:i] in words and (rest := best(token[i:])):
+                ways.append((math.log(total / words[token[:i]]) + rest[0], (token[:i], *rest[1])))
+        return min(ways, default=None)
+
+    def features(tokens):
+        for t in tokens:
+            for x in (y if not y.isdigit() else "0" for y in re.findall("[0-9]+|[^0-9]+", t)):
+                yield from best(x)[1] if x.isalpha() and best(x) else (x,)
+
+    for tokens, verdict in judged:
+        if verdict:
+            seen[verdict].update(features(tokens))
+    sums = {v: sum(c.values()) for v, c in seen.items()}
+    held = {w for w in seen["block"] | seen["allow"] if sum(c[w] for c in seen.values()) >= max(least, share * sum(sums.values()))}
+    low, out = min(sums.values()), []
+    for tokens, verdict in judged:
+        odds = 0.0
+        for w in features(tokens):
+            if w in held and low:
+                odds += math.log(seen["block"][w] * low / sums["block"] + 1) - math.log(seen["allow"][w] * low / sums["allow"] + 1)
+        out.append((verdict, 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))))
+    return out
 
 
-def test_names_with_digits_are_split():
-    model = urlfilter.Model({"free": 50.0, "casino": 50.0, "cheap": 50.0, "pills": 50.0}, {"block": dict.fromkeys(["free", "casino", "cheap", "pills"], 9.0), "allow": dict.fromkeys(["town", "library", "art", "news"], 9.0)})
-    assert model.blocked(["freecasino88"]) > 0.9 and model.blocked(["cheap4pills"]) > 0.9
+@tables
+def test_url_model_like_brute_force(spark):
+    """Segmentation, Bayes and verdicts over a whole table."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    by = urlfilter.Rules(registry.URL_RULES)
+    rows = df.collect()
+    got = {r.page_id: r for r in urlfilter.judge(df, by, urlfilter.fit(df, by, text="html")).collect()}
+    want = brute_model([(r.url, r.html) for r in rows], registry.URL_RULES)
+    for r, (verdict, p) in zip(rows, want, strict=True):
+        assert abs(got[r.page_id].blocked - p) < 1e-6 and got[r.page_id].verdict == (verdict or ("block" if p >= 0.9 else "allow"))
 
 
-def test_frequent_names_are_split(spark):
-    """A concatenated name can't vouch for itself, however many urls have it, in the host or in the path."""
+def test_long_urls(spark):
     by = urlfilter.Rules(registry.URL_RULES)
-    urls = ["http://cheappills.example.info/"] * 100 + ["http://townlibrary.example.info/freecasinobonus/"] * 100 + [f"http://winter.site.info/page-{i % 7}/" for i in range(100)]
+    urls = ["http://" + "ab" * 100_000 + ".info/" + "x/" * 100_000, "http://" + "a." * 100_000 + "example.com/en/1"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    model = urlfilter.fit(df, by)
-    assert model.segment("cheappills") == ("cheap", "pills") and model.segment("freecasinobonus") == ("free", "casino", "bonus")
-    assert model.segment("winter") == ("winter",)  # not win and a rest
-    got = {(r.host, r.verdict) for r in urlfilter.judge(df, by, model).collect()}
-    assert ("cheappills.example.info", "block") in got and ("winter.site.info", "allow") in got and len(got) == 3
+    got = {r.page_id: r for r in urlfilter.judge(df, by, urlfilter.fit(df, by)).collect()}
+    assert got[0].verdict == "allow" and got[1].rule == "com/en/" and len(got[0].path) == 200_001
 
 
 def test_ordinal(spark):
