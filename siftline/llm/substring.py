@@ -6,15 +6,19 @@
 2. Minimizers meet by their hashes. What a task finds in several of its documents itself needs no company: one of the
    entries tells the others, so that frequent ones are combined before they move.
 3. Passages whose minimizers repeat go to shards by minimizer. Of the copies that a task sees, only that of the smallest
-   doc_id goes; the others are repeats already.
-4. A shard indexes its passages in a compressed FM-index (see fmindex) and streams them through it: backward search
-   gives matching statistics, cut off at k, and each match of k words knows the smallest doc_id among its places. Where
-   that is smaller than the passage's own, the window is a repeat.
+   doc_id goes; the others are repeats already. Minimizers that are frequent in a sample of documents are told further
+   apart: a window that has the minimizer in its first half goes by the words behind it too, another by those before it,
+   which equal windows share. The sample decides on where windows meet, not on whether they do.
+4. A shard takes its passages in the order of their documents, a block at a time. Each block is streamed through the
+   compressed FM-indexes (see fmindex) of the blocks before it: backward search gives matching statistics, cut off at k,
+   and each match of k words is a repeat. What isn't all repeats is indexed and then streamed through its own block's
+   index, where a match knows the first passage that has it; if that is of a smaller doc_id, the window is a repeat.
 5. The spans of repeated windows meet their documents.
 
-Entries travel packed, many in a row, in buckets of which there are as many as shuffle partitions: a bucket
-is what a task holds at a time. A text moves twice, passages once. Nothing is cut off or sampled: a window is found wherever
-it stands, and hashes only tell which windows to compare (64 bits of each word, all words of each window).
+Entries travel packed, many in a row, in buckets: a bucket is what a task holds at a time, and there are as many as
+shuffle partitions, or more if the texts of a bucket would exceed BUCKET bytes. A text moves twice, passages once. Nothing
+is cut off: a window is found wherever it stands, and hashes only tell which windows to compare (64 bits of each word, all
+words of each window).
 """
 
 from __future__ import annotations
@@ -33,8 +37,13 @@ from .fmindex import Index
 
 #: Words in the runs whose least hash is a window's minimizer.
 GRAM = 5
-#: Bytes of text that a task takes at a time.
-PART = 1 << 23
+#: Bytes of text that a task takes at a time, and bytes of text of a bucket.
+PART, BUCKET = 1 << 23, 1 << 28
+#: Words of a block of a shard's passages.
+BLOCK = 1 << 22
+#: One of so many documents is in the sample for frequent minimizers; frequent are those that fill so large a part of a
+#: bucket, and stand there so often at least.
+SAMPLE, SHARE, OFTEN = 64, 1 / 16, 64
 
 ROWS = "bucket int, aim int, doc_id long, version long, text string, packed binary"
 
@@ -246,7 +255,52 @@ def of_documents(columns: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray
     return np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum()), np.repeat(np.arange(len(ids)), n)
 
 
-def passages(k: int, buckets: int) -> Callable:
+def frequent(named: DataFrame, k: int, least: int) -> tuple[np.ndarray, int]:
+    """The frequent minimizers of a sample, sorted, and the buckets that the texts need, `least` at least.
+
+    Frequent ones are at most buckets / SHARE. All tasks get them.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8(batch.column(0))
+            for a, b in parts([len(t) for t in texts], PART):
+                keys, n = np.unique(Passages(texts[a:b], k).key, return_counts=True)
+                size = sum(map(len, texts[a:b]))
+                yield pa.RecordBatch.from_arrays([pa.array([None, *keys.view(np.int64).tolist()], pa.int64()), pa.array([size, *n.tolist()], pa.int64())], ["key", "n"])
+
+    sample = named.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SAMPLE)) == 0).select("text").mapInArrow(each, "key long, n long")
+    counted = cut(sample.groupBy("key").agg(F.sum("n").alias("n")))
+    size, total = counted.agg(F.sum(F.when(F.col("key").isNull(), F.col("n"))), F.sum(F.when(F.col("key").isNotNull(), F.col("n")))).first()
+    buckets = max(least, (size or 0) * SAMPLE // BUCKET)
+    rows = counted.where(F.col("key").isNotNull() & (F.col("n") >= max(OFTEN, SHARE * (total or 0) / buckets))).select("key").collect()
+    return np.sort(np.array([r["key"] for r in rows], np.int64).view(U64)), buckets
+
+
+def apart(p: Passages, own: np.ndarray, hot: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """first, last, key and text of the passages `own`; those of hot minimizers in up to two parts, with keys of their own."""
+    first, last, key, place, text = (x[own] for x in (p.first, p.last, p.key, p.place, p.text))
+    often = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key if len(hot) else np.zeros(len(own), bool)
+    if not often.any():
+        return first, last, key, text
+    m = min(GRAM, k)
+    half = (k - m) // 2
+    # Windows from here on have the minimizer `half` words or fewer behind their first word.
+    border = place - half
+    a, b, rest = np.flatnonzero(often & (last - k + 1 >= border)), np.flatnonzero(often & (first < border)), np.flatnonzero(~often)
+
+    def wider(key: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            for i in range(n):
+                key = (key ^ p.words.hash[at + i]) * U64(0xD6E8FEB86659FD93)
+                key ^= key >> U64(32)
+        return mix(key)
+
+    keys = key[rest], wider(key[a] ^ GOLDEN, place[a] + m, k - m - half), wider(~key[b], place[b] - half - 1, half + 1)
+    return np.concatenate((first[rest], np.maximum(first, border)[a], first[b])), np.concatenate((last[rest], last[a], np.minimum(last, border + k - 2)[b])), np.concatenate(keys), np.concatenate((text[rest], text[a], text[b]))
+
+
+def passages(k: int, buckets: int, hot: np.ndarray) -> Callable:
     """Step 3: passages with repeating minimizers to their shards, and spans that are repeats already to documents."""
     empty = [np.empty(0, np.int64), np.empty(0, "<i4")]
 
@@ -265,14 +319,14 @@ def passages(k: int, buckets: int) -> Callable:
             own = np.flatnonzero(some[p.place])
             if not len(own):
                 continue
-            first, last, key = p.first[own], p.last[own], p.key[own]
-            doc, version = ids[wanted][p.text[own]], versions[wanted][p.text[own]]
-            begin = p.words.first[p.text[own]]
+            first, last, key, text = apart(p, own, hot, k)
+            doc, version = ids[wanted][text], versions[wanted][text]
+            begin = p.words.first[text]
             same = identity(p.words.hash, first, last, k)
             order = np.lexsort((doc, same))
-            least = np.empty(len(own), np.int64)
+            least = np.empty(len(first), np.int64)
             starts = np.flatnonzero(np.concatenate(([True], same[order][1:] != same[order][:-1])))
-            least[order] = np.repeat(doc[order][starts], np.diff(np.append(starts, len(own))))
+            least[order] = np.repeat(doc[order][starts], np.diff(np.append(starts, len(first))))
             again = np.flatnonzero(doc > least)
             rows = list(home(doc[again], [version[again], (first - begin)[again].astype("<i4"), (last - first + 1)[again].astype("<i4")], buckets))
             go = np.flatnonzero(doc == least)
@@ -286,7 +340,40 @@ def passages(k: int, buckets: int) -> Callable:
     return each
 
 
-def indexed(k: int, buckets: int) -> Callable:
+def repeats(doc: np.ndarray, first: np.ndarray, size: np.ndarray, words: np.ndarray, k: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Step 4: which windows of the distinct passages words[first : first + size], in ascending order of doc, are repeats:
+    the passage and the place in it."""
+    who, place = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    indexes: list[Index] = []
+    # A block ends with a document.
+    ends = np.flatnonzero(np.append(doc[1:] != doc[:-1], True))
+    ends = ends[np.flatnonzero(np.diff(np.append(np.cumsum(size)[ends] // block, -1)))] + 1
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        own, known = np.arange(a, b), np.zeros(b - a, np.int64)
+        held = []
+        for index in indexes:
+            w, at, _ = index.search(words, first[own], size[own])
+            held.append(w * (1 << 32) + at)
+        if held:
+            held = np.unique(np.concatenate(held))
+            who.append(own[held >> 32])
+            place.append(held & 0xFFFFFFFF)
+            known = np.bincount(held >> 32, minlength=b - a)
+        own = own[known < size[own] - k + 1]
+        if len(own):
+            n = size[own]
+            flat = words[np.repeat(first[own] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            index = Index(flat, n, k)
+            w, at, earlier = index.search(flat, np.cumsum(n) - n, n)
+            hit = doc[own][earlier] < doc[own][w]
+            who.append(own[w[hit]])
+            place.append(at[hit])
+            if b < len(doc):
+                indexes.append(index)
+    return np.concatenate(who), np.concatenate(place)
+
+
+def indexed(k: int, buckets: int, block: int) -> Callable:
     """Step 4: the spans of a shard's passages that are repeats."""
 
     def spans(doc: np.ndarray, version: np.ndarray, at: np.ndarray, size: np.ndarray, words: np.ndarray) -> Iterator[Row]:
@@ -294,32 +381,24 @@ def indexed(k: int, buckets: int) -> Callable:
         same = identity(words, first, first + size - 1, k)
         order = np.lexsort((doc, same))
         starts = np.flatnonzero(np.concatenate(([True], same[order][1:] != same[order][:-1])))
-        group = np.empty(len(doc), np.int64)
-        group[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(doc))))
         one = order[starts]  # of each distinct passage the copy of the smallest doc_id
+        by_doc = np.argsort(doc[one], kind="stable")
+        rank = np.empty(len(one), np.int64)
+        rank[by_doc] = np.arange(len(one))
+        one, group = one[by_doc], np.empty(len(doc), np.int64)
+        group[order] = rank[np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(doc))))]
         later = np.flatnonzero(doc > doc[one][group])
         found = [(doc[later], version[later], at[later], size[later])]
-        # The text: distinct passages, each with a separator behind it.
-        long = size[one] + 1
-        begin = np.cumsum(long) - long
-        text = np.zeros(int(long.sum()), np.int64)
-        inside = np.ones(len(text), bool)
-        inside[begin + size[one]] = False
-        take = np.repeat(first[one] - begin, long)[inside] + np.flatnonzero(inside)
-        text[inside] = np.unique(words[take], return_inverse=True)[1] + 1
-        index = Index(text, k)
-        owner = np.repeat(doc[one], long)
-        least = np.minimum.reduceat(owner[index.order], index.group_start)
-        who, place, match = index.matches(begin, size[one], text)
-        hit = least[match] < doc[one][who]
-        who, place = who[hit], place[hit]
-        # Copies in the document of the smallest doc_id itself share what the search has found.
+        who, place = repeats(doc[one], first[one], size[one].astype(np.int64), words, k, block)
         order = np.lexsort((place, who))
         who, place = who[order], place[order]
+        new = np.concatenate(([True], (who[1:] != who[:-1]) | (place[1:] != place[:-1]))) if len(who) else np.empty(0, bool)
+        who, place = who[new], place[new]
         joined = np.concatenate(([True], (who[1:] != who[:-1]) | (place[1:] != place[:-1] + 1))) if len(who) else np.empty(0, bool)
         a = np.flatnonzero(joined)
         b = np.append(a[1:], len(who))[: len(a)] - 1
         who, place, long = who[a], place[a], place[b] - place[a] + k
+        # Copies in the document of the smallest doc_id itself share what the search has found.
         copies = np.flatnonzero(doc == doc[one][group])
         copies = copies[np.argsort(group[copies], kind="stable")]
         lo, hi = np.searchsorted(group[copies], who, "left"), np.searchsorted(group[copies], who, "right")
@@ -350,9 +429,9 @@ def add_spans(docs: DataFrame, finish: Callable, schema: str, k: int = 13) -> Da
     neither lose words nor make others lose some. Rows that share a doc_id are one document. Further columns of docs are
     ignored.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col("doc_id").cast("long"), "text")
     named = own.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    hot, buckets = frequent(named, k, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def meet(rows: DataFrame, *by: F.Column | str) -> DataFrame:
         return rows.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", *by)
@@ -363,8 +442,8 @@ def add_spans(docs: DataFrame, finish: Callable, schema: str, k: int = 13) -> Da
         return meet(rows.unionByName(texts), F.col("packed").isNull(), "doc_id", "version")
 
     known = meet(named.mapInArrow(entries(k, buckets), ROWS)).mapInArrow(repeating(buckets), ROWS)
-    moved = joined(known, named).mapInArrow(passages(k, buckets), ROWS)
-    spans = cut(meet(moved).mapInArrow(indexed(k, buckets), ROWS))
+    moved = joined(known, named).mapInArrow(passages(k, buckets, hot), ROWS)
+    spans = cut(meet(moved).mapInArrow(indexed(k, buckets, BLOCK), ROWS))
     empty = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<i4"), np.empty(0, "<i4")]
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
