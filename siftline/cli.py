@@ -9,17 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import markup
-from .functions.charsets import decode
 from .functions.strings import fix_mojibake, iso_utc
 from .functions.urls import fetch_key
 from .operators import brands as B
 from .operators import cleaning, extraction, features, fetching, lists, relational, seed
+from .functions.values import ALLOW_LIST, DENY_LIST, SCAM_LIST, TRUSTED_LIST
 from .schemas import PAGE_TEXT, RAW_HTML, SEED
 from .session import session
 from .sources import feeds, files, network, sinks
 
-#: Lists that are crawled by page: the list they belong to, and how their items are found.
-CRAWLS = {"scam": ("black", markup.scam_items), "trusted": ("white", markup.trusted_items), "deny": ("black", markup.report_items), "allow": ("white", markup.report_items)}
+#: Lists that are crawled: the list they belong to, their address, whether they have pages, and how their items are found.
+CRAWLS = {
+    "scam": ("black", SCAM_LIST, True, markup.scam_items),
+    "trusted": ("white", TRUSTED_LIST, True, markup.trusted_items),
+    "deny": ("black", DENY_LIST, False, markup.report_items),
+    "allow": ("white", ALLOW_LIST, False, markup.report_items),
+}
+#: Pages of a list that are asked for before it is looked whether the list has ended.
+WAVE = 16
 
 
 def parser() -> argparse.ArgumentParser:
@@ -28,8 +35,8 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     c = sub.add_parser("crawl", help="crawl public lists and merge them")
     c.add_argument("--source", default="all", choices=[*CRAWLS, "all", "black", "white"])
-    c.add_argument("--template", action="append", default=[], metavar="NAME=URL", help="a list's url, with {page}")
-    c.add_argument("--max-pages", type=int, default=1)
+    c.add_argument("--template", action="append", default=[], metavar="NAME=URL", help="another address for a list; {page} in it stands for the page's number")
+    c.add_argument("--max-pages", type=int, help="pages of each list at most; without it all that its first page tells of")
     c.add_argument("--dry-run", action="store_true")
     c.add_argument("--check-status", nargs="?", const="black", choices=["black", "white", "both"])
     c = sub.add_parser("collect", help="read feed snapshots and merge them")
@@ -47,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--workers", type=int, default=20)
     c.add_argument("--fix-mojibake", metavar="FILE", help="repair a file of pages instead")
     c.add_argument("--min-words", type=int, default=50)
+    c.add_argument("--output", metavar="PATH", help="where records go; domains that are there already are not fetched again")
+    c.add_argument("--batch", type=int, default=2000, help="domains whose records are written together")
     c = sub.add_parser("clean-pages")
     c.add_argument("--input")
     c.add_argument("--source", default="both", choices=["black", "white", "both"])
@@ -88,17 +97,34 @@ def merge(spark: SparkSession, root: str, which: str, new: DataFrame, dry_run: b
         sinks.write_domains(relational.merged(old, new), path)
 
 
-def crawl(spark: SparkSession, a: argparse.Namespace) -> None:
-    network.register(spark)
+def crawled(spark: SparkSession, name: str, url: str, to: str, most: int | None = None, **how) -> DataFrame:
+    """The domains of a list, page by page. The first page tells how many there are; the list ends at the first reachable
+    page without items. Pages are kept in `to` as they come, a few at a time, so that what was fetched outlasts a crawl that
+    breaks off."""
+    _, _, paged, items = CRAWLS[name]
+    found, last, at = lambda: spark.read.schema("page int, items array<string>, total int").json(to), 1, 0
+    while at < last:
+        wave = [(str(p),) for p in range(at + 1, min(last, at + WAVE if at else 1) + 1)]
+        got = network.list_pages(spark.createDataFrame(wave, "page string"), url, **how)
+        rows = got.select(F.col("page").cast("int").alias("page"), F.when(F.col("html").isNotNull(), items(F.col("html"))).alias("items"), F.when(F.col("page") == "1", markup.page_count(F.col("html"), most)).alias("total"))
+        sinks.append_records(rows, to)
+        first = at == 0
+        at += len(wave)
+        new = found().where(F.col("page") > at - len(wave)).agg(F.max("total").alias("total"), F.count_if((F.size("items") == 0) & (F.col("page") > 1)).alias("ends")).first()
+        if first:
+            last = new.total or 0 if paged else 1
+        if new.ends:
+            break
+    kept = relational.take_while_filled(found(), [], "page", F.col("items").isNotNull(), F.size("items") > 0)
+    return kept.select(F.explode("items").alias("domain")).distinct()
+
+
+def crawl(spark: SparkSession, a: argparse.Namespace, **how) -> None:
     templates = dict(t.split("=", 1) for t in a.template)
-    for name, (which, items) in CRAWLS.items():
-        if a.source not in ("all", which, name) or name not in templates:
-            continue
-        answers = spark.read.format("siftline_http").option("template", templates[name]).option("pages", a.max_pages).load()
-        html = F.when(F.col("status_code") < 400, decode(F.col("body"), F.col("charset")))
-        pages = answers.select(F.col("key").cast("int").alias("page_no"), html.alias("html")).withColumn("items", items(F.col("html")))
-        kept = relational.take_while_filled(pages, [], "page_no", F.col("html").isNotNull(), F.size("items") > 0)
-        merge(spark, a.root, which, kept.select(F.explode("items").alias("domain")).distinct(), a.dry_run)
+    for name, (which, url, _, _) in CRAWLS.items():
+        if a.source in ("all", which, name):
+            new = crawled(spark, name, templates.get(name, url), f"{a.root}/raw/crawl_{name}_{datetime.now(UTC):%Y%m%d_%H%M%S_%f}", a.max_pages, **how)
+            merge(spark, a.root, which, new, a.dry_run)
     if a.check_status:
         for which in chosen(a.check_status):
             print_row(which, statuses(files.domain_set(spark, list_path(a.root, which))).groupBy("class").count())
@@ -157,15 +183,31 @@ def fetch(spark: SparkSession, a: argparse.Namespace) -> None:
         fixed = sinks.repair_records(spark, a.fix_mojibake, RAW_HTML, {"_mojibake_fixed": fix_mojibake(F.col("html"), 0) != F.col("html"), "html": fix_mojibake(F.col("html"), 0)})
         return sinks.replace(fixed.orderBy("line_no").select("value"), a.fix_mojibake)
     for which in chosen(a.source):
+        to = a.output or f"{a.root}/html/raw/{which}list_{datetime.now(UTC):%Y%m%d_%H%M%S}.jsonl"
         own = files.domain_lines(spark, list_path(a.root, which), a.limit).select(fetch_key(F.col("value")).alias("domain")).distinct()
-        dns = network.names(own.where("domain != ''"), a.workers).persist()
-        http = network.answers(fetching.resolved(dns).where("dns_ok"), a.workers).persist()
-        missing = own.where("domain != ''").join(http.where("status_code < 400").select("domain").distinct(), "domain", "left_anti")
-        archive = network.copies(missing, a.workers).persist()
+        if files.exists(spark, to):
+            own = own.join(spark.read.schema("url string, source string").json(to).where(F.col("source") == which).select(F.col("url").alias("domain")), "domain", "left_anti")
+        fetch_batches(spark, own, which, to, a)
+
+
+def fetch_batches(spark: SparkSession, domains: DataFrame, which: str, to: str, a: argparse.Namespace, **how) -> None:
+    """Fetches the pages of domains, some --batch of them at a time, and adds each batch's records to `to` when they are
+    there: a job that breaks off keeps what came before, and with the same --output goes on with the rest."""
+    domains = domains.persist()
+    many = max(1, -(-domains.count() // a.batch))
+    for i in range(many):
+        own = domains.where(F.pmod(F.xxhash64("domain"), F.lit(many)) == i)
+        names = own.where("domain != ''")
+        dns = network.names(names, a.workers, **({"one": how["one"]} if "one" in how else {})).persist()
+        asked = {"fetch": how["fetch"]} if "fetch" in how else {}
+        http = network.answers(fetching.resolved(dns).where("dns_ok"), a.workers, **asked).persist()
+        missing = names.join(http.where("status_code < 400").select("domain").distinct(), "domain", "left_anti")
+        archive = network.copies(missing, a.workers, **asked).persist()
         out = fetching.outcomes(own, dns, http, archive, a.min_words)
-        sinks.append_records(out.withColumns({"source": F.lit(which), "fetched_at": iso_utc(F.current_timestamp())}), f"{a.root}/html/raw/{which}list_{datetime.now(UTC):%Y%m%d_%H%M%S}.jsonl")
+        sinks.append_records(out.withColumns({"source": F.lit(which), "fetched_at": iso_utc(F.current_timestamp())}), to)
         for df in (dns, http, archive):
             df.unpersist()
+    domains.unpersist()
 
 
 def clean_pages(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -191,7 +233,7 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> None:
 def _content(spark: SparkSession, root: str) -> DataFrame:
     at = f"{root}/html/processed"
     if not files.exists(spark, at):
-        return seed.content_index(spark.createDataFrame([], f"{PAGE_TEXT}, file string, line_no int"))
+        return seed.content_index(spark.createDataFrame([], f"{PAGE_TEXT}, file string, line_no long"))
     return seed.content_index(files.records(spark, f"{at}/*/*.json", PAGE_TEXT))
 
 

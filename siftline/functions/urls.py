@@ -8,60 +8,57 @@ from pyspark.sql import functions as F
 from .strings import any_of, strip
 from .values import EXEMPT_WITH, EXEMPT_WITHOUT, GAMBLING_ADULT_PATTERNS, PLATFORM_ROOTS, SUSPICIOUS_TOKENS
 
-SCHEME = "^[a-z][a-z0-9+.-]*:"
-VALID = "^[a-z0-9.-]+$"
+SCHEME = "[a-z][a-z0-9+.-]*:"
 
 
 def host(v: Column) -> Column:
-    """What stands between // and the next / ? or #, with user, port and case as they are."""
-    full = F.when(F.contains(v, F.lit("://")), v).otherwise(F.concat(F.lit("http://"), v))
-    with_scheme = F.regexp_extract(full, SCHEME + "//([^/?#]*)", 1)
-    without = F.regexp_extract(F.regexp_replace(full, SCHEME, ""), "^([^/?#]*)", 1)
-    return F.when(full.rlike(SCHEME + "//"), with_scheme).otherwise(without)
+    """What stands between // and the next / ? or #, with user, port and case as they are. Without :// anywhere, that is
+    what stands before the first of them; a scheme without // goes.
+
+    Here and below, an expression takes its input once, so that nested ones don't grow by a factor with each step.
+    """
+    return F.regexp_extract(v, f"(?s)^(?:(?=.*://){SCHEME}(?://)?)?([^/?#]*)", 1)
 
 
 def bare_domain(c: Column) -> Column:
     """The lower-cased host without user, port, outer dots and one www.; empty for null. Nothing is validated."""
     h = host(F.lower(strip(F.coalesce(c, F.lit("")))))
-    h = F.split(F.element_at(F.split(h, "@"), -1), ":")[0]
-    return F.regexp_replace(F.regexp_replace(h, "^[.]+|[.]+$", ""), "^www\\.", "")
+    h = F.substring_index(F.substring_index(h, "@", -1), ":", 1)
+    return F.regexp_replace(F.btrim(h, F.lit(".")), "^www\\.", "")
 
 
 def normalize_domain(c: Column) -> Column:
     """bare_domain where it has a dot and only a-z, 0-9, dots and dashes, else empty."""
-    d = bare_domain(c)
-    return F.when(d.rlike(VALID) & F.contains(d, F.lit(".")), d).otherwise("")
+    return F.regexp_extract(bare_domain(c), "^([a-z0-9-]*[.][a-z0-9.-]*)$", 1)
 
 
 def normalize_url(c: Column) -> Column:
     """Stripped, with http:// in front if there is no scheme; empty stays empty."""
-    v = strip(F.coalesce(c, F.lit("")))
-    return F.when((v == "") | F.contains(v, F.lit("://")), v).otherwise(F.concat(F.lit("http://"), v))
+    return F.regexp_replace(strip(F.coalesce(c, F.lit(""))), "(?s)^(?=.)(?!.*://)", "http://")
 
 
 def canonical_url(c: Column) -> Column:
     """As normalize_url, but empty becomes http:// too."""
-    v = strip(c)
-    return F.when(F.contains(v, F.lit("://")), v).otherwise(F.concat(F.lit("http://"), v))
+    return F.regexp_replace(strip(c), "(?s)^(?!.*://)", "http://")
 
 
 def domain_only(c: Column) -> Column:
     """Without http(s):// and www., up to the first slash; a port stays."""
     v = F.regexp_replace(F.regexp_replace(F.lower(strip(c)), "^https?://", ""), "^www\\.", "")
-    return strip(F.split(v, "/")[0])
+    return strip(F.substring_index(v, "/", 1))
 
 
 def fetch_key(c: Column) -> Column:
     """Without http(s)://, up to the first slash; www. and a port stay."""
-    return F.split(F.regexp_replace(F.lower(strip(c)), "^https?://", ""), "/")[0]
+    return F.substring_index(F.regexp_replace(F.lower(strip(c)), "^https?://", ""), "/", 1)
 
 
 def listed_domain(c: Column) -> Column:
     """The domain of a line of a domain list, before the rules that drop it; null for markup and empty lines."""
     v = F.lower(strip(c))
-    markup = (v == "") | v.rlike("[<>]|xmlns=|fill=")
+    markup = v.rlike("^$|[<>]|xmlns=|fill=")
     d = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "^https?://", ""), "^\\*\\.", ""), "^\\.", "")
-    return F.when(~markup, strip(F.split(F.split(d, "/")[0], ":")[0]))
+    return F.when(~markup, strip(F.substring_index(F.substring_index(d, "/", 1), ":", 1)))
 
 
 def is_platform_root(d: Column) -> Column:
@@ -80,9 +77,13 @@ def is_gambling_or_adult(d: Column) -> Column:
 
 def allowed_domain(d: Column, blacklist: bool = True) -> Column:
     """Whether a listed domain stays: not without a dot or with other characters; in blacklists no platform roots,
-    gambling and adult sites either. Give it a column of its own, as it reads it often."""
-    ok = F.contains(d, F.lit(".")) & d.rlike("^[a-z0-9.-]+$")
-    return ok & ~is_platform_root(d) & ~is_gambling_or_adult(d) if blacklist else ok
+    gambling and adult sites either. One expression that takes d once, as a filter may be told in terms of what d is."""
+    valid = "(?=[^.]*[.])[a-z0-9.-]+$"
+    if not blacklist:
+        return d.rlike("^" + valid)
+    roots = "|".join(r.replace(".", "[.]") for r in PLATFORM_ROOTS)
+    exempt = "".join(f"(?=.*{w})" for w in EXEMPT_WITH) + "".join(f"(?!.*{w})" for w in EXEMPT_WITHOUT)
+    return d.rlike(f"^(?!(?:{roots})$)(?:{exempt}|(?!.*(?:{any_of(GAMBLING_ADULT_PATTERNS, '')}))){valid}")
 
 
 def clean_domain(c: Column, blacklist: bool = True) -> Column:
@@ -120,10 +121,10 @@ def absolute_links(hrefs: Column) -> Column:
 
 def link_domains(links: Column, page_url: Column) -> Column:
     """Sorted distinct hosts, lower-cased, that differ from the page's as written; www. is dropped after comparing."""
-    own = netloc(F.when(F.contains(page_url, F.lit("://")), page_url).otherwise(F.concat(F.lit("http://"), page_url)))
+    own = page_host(page_url)
     hosts = F.filter(F.transform(links, lambda h: F.lower(netloc(h))), lambda d: (d != "") & (d != own))
     return F.array_sort(F.array_distinct(F.transform(hosts, lambda d: F.regexp_replace(d, "^www\\.", ""))))
 
 
 def page_host(url: Column) -> Column:
-    return netloc(F.when(F.contains(url, F.lit("://")), url).otherwise(F.concat(F.lit("http://"), url)))
+    return netloc(F.regexp_replace(url, "(?s)^(?!.*://)", "http://"))

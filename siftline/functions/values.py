@@ -88,6 +88,12 @@ DENIED_TEXT = r'class="_urlText_1exle_106">([^<]+)'
 ALLOWED_LINK = r'class="_urlLink_1exle_113"[^>]*>\s*([^<]+)\s*</a>'
 EMBEDDED_PAIR = r'\{"url":"([^"]+)"[^}]+"domain":"([^"]+)"'
 
+# The addresses of those lists.
+SCAM_LIST = "https://tinnhiemmang.vn/website-lua-dao"
+TRUSTED_LIST = "https://tinnhiemmang.vn/website-tin-nhiem"
+DENY_LIST = "https://chongluadao.vn/database/denylist"
+ALLOW_LIST = "https://chongluadao.vn/database/allowlist"
+
 # Words for labels and outcomes.
 NO_SNAPSHOT = "DNS fail + no Wayback snapshot"
 OFFICIAL_EVIDENCE = "official domain from brand catalog"

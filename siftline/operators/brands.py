@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import squash
 from ..functions.urls import bare_domain
 
-#: Brands that become one literal of the plan; a larger catalog is refused.
-MOST = 20_000
+#: Brands, and letters of their tokens, that go to every task; a larger catalog is refused.
+MOST, LETTERS = 20_000, 4_000_000
 
 
 def with_tokens(brands: DataFrame, least: int = 3) -> DataFrame:
@@ -20,28 +24,61 @@ def with_tokens(brands: DataFrame, least: int = 3) -> DataFrame:
     return brands.withColumn("tokens", F.array_sort(F.array_distinct(F.filter(F.transform(every, squash), lambda t: F.length(t) >= least))))
 
 
-def catalog(brands: DataFrame) -> Column:
-    """The catalog, in its order, as an array literal: its size is checked, so that it can go to every task."""
+@dataclass(frozen=True)
+class Catalog:
+    """Brands in their order: brand, sector, category and tokens of each. It goes to every task, so its size is checked."""
+
+    rows: tuple[tuple[str | None, str | None, str | None, tuple[str, ...]], ...]
+
+    def __post_init__(self) -> None:
+        if len(self.rows) > MOST or sum(len(t) for r in self.rows for t in r[3]) > LETTERS:
+            raise ValueError(f"more than {MOST} brands, or {LETTERS} letters of their tokens")
+
+
+def catalog(brands: DataFrame) -> Catalog:
     rows = with_tokens(brands).orderBy("brand_no").select("name", "sector", "category", "tokens").limit(MOST + 1).collect()
-    if len(rows) > MOST:
-        raise ValueError(f"more than {MOST} brands")
-    kind = "array<struct<brand: string, sector: string, category: string, tokens: array<string>>>"
-    one = lambda r: F.struct(*(F.lit(v).cast("string") for v in (r["name"], r["sector"], r["category"])), F.array(*(F.lit(t) for t in r["tokens"])).cast("array<string>"))
-    return F.array(*(one(r) for r in rows)).cast(kind)
+    return Catalog(tuple((r["name"], r["sector"], r["category"], tuple(r["tokens"])) for r in rows))
+
+
+def automaton(own: Catalog):
+    """Finds every token in one pass over a text, whatever their number; a token's value tells its brands."""
+    import ahocorasick
+
+    of: dict[str, list[int]] = {}
+    for i, (*_, tokens) in enumerate(own.rows):
+        for t in tokens:
+            of.setdefault(t, []).append(i)
+    found = ahocorasick.Automaton()
+    for t, brands in of.items():
+        found.add_word(t, (t, brands))
+    found.make_automaton()
+    return found
 
 
-def evidence(tokens: Column, domain: Column, text: Column) -> Column:
-    """For each token found: that the domain contains it, or else that the text does; both are squashed already."""
-    told = F.transform(tokens, lambda t: F.when(F.contains(domain, t), F.concat(F.lit("domain contains brand token '"), t, F.lit("'"))).when(F.contains(text, t), F.concat(F.lit("text contains brand token '"), t, F.lit("'"))))
-    return F.array_sort(F.array_distinct(F.filter(told, lambda e: e.isNotNull())))
+def evidence(found, own: Catalog, domain: str, text: str) -> list[dict]:
+    """The brands with tokens in domain or text (both squashed), in catalog order, and for each token found whether the
+    domain contains it, or else the text."""
+    told: dict[int, set[str]] = {}
+    seen: set[str] = set()
+    for where, x in (("domain", domain), ("text", text)):
+        for t, brands in {v[0]: v for _, v in found.iter(x)}.values() if x else ():
+            if t not in seen:
+                seen.add(t)
+                for i in brands:
+                    told.setdefault(i, set()).add(f"{where} contains brand token '{t}'")
+    return [dict(zip(("brand", "sector", "category", "evidence"), (*own.rows[i][:3], sorted(told[i])), strict=True)) for i in sorted(told)]
 
 
-def matches(brands: Column, domain: Column, text: Column) -> Column:
-    """The brands, in catalog order, with evidence in domain or text. Nothing is joined: no row meets a row."""
-    d, t = squash(domain), squash(F.coalesce(text, F.lit("")))
+def matches(brands: Catalog, domain: Column, text: Column) -> Column:
+    """The brands, in catalog order, with evidence in domain or text. Nothing is joined: no row meets a row. A null domain
+    or text counts as empty."""
+    kind = pa.list_(pa.struct([("brand", pa.string()), ("sector", pa.string()), ("category", pa.string()), ("evidence", pa.list_(pa.string()))]))
 
-    def within(x: Column) -> Column:
-        found = F.transform(brands, lambda b: F.struct(b["brand"].alias("brand"), b["sector"].alias("sector"), b["category"].alias("category"), evidence(b["tokens"], x["d"], x["t"]).alias("evidence")))
-        return F.filter(found, lambda b: F.size(b["evidence"]) > 0)
+    @F.arrow_udf("array<struct<brand: string, sector: string, category: string, evidence: array<string>>>")
+    def within(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        found = automaton(brands) if any(r[3] for r in brands.rows) else None
+        for d, t in batches:
+            rows = zip(d.to_pylist(), t.to_pylist(), strict=True)
+            yield pa.array([evidence(found, brands, x or "", y or "") if found is not None else [] for x, y in rows], kind)
 
-    return F.element_at(F.transform(F.array(F.struct(d.alias("d"), t.alias("t"))), within), 1)
+    return within(squash(domain), squash(F.coalesce(text, F.lit(""))))

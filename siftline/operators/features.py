@@ -33,7 +33,7 @@ def content_features() -> dict[str, Column]:
     }
 
 
-def features(seeds: DataFrame, content: DataFrame, catalog: Column) -> DataFrame:
+def features(seeds: DataFrame, content: DataFrame, catalog: B.Catalog) -> DataFrame:
     """seeds left-joined with the content of their domains; content has one row for each domain."""
     own = content.select("domain", "title", "meta_description", "text", "forms_count", "has_password_field", "external_links", "links_to_domains", "method", "fetched_at", F.col("file").alias("content_source_file"))
     df = seeds.select("record_id", "url", "domain", "label", "source").join(own, "domain", "left").withColumn("text", F.coalesce("text", F.lit("")))

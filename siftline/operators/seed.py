@@ -24,7 +24,7 @@ def domains_of(lines: DataFrame) -> DataFrame:
     return ordered_distinct(lines.select(bare_domain(F.col("value")).alias("domain"), "line_no").where("domain != ''"), "domain", "line_no")
 
 
-def ranked(blacklist: DataFrame, crawled: DataFrame, catalog: Column) -> DataFrame:
+def ranked(blacklist: DataFrame, crawled: DataFrame, catalog: B.Catalog) -> DataFrame:
     """Blacklist domains with matches, has_content and score: 0 brand and content, 1 brand, 2 content, 3 neither."""
     own = domains_of(blacklist).withColumn("matches", B.matches(catalog, F.col("domain"), F.lit("")))
     own = own.join(crawled.select("domain", F.lit(True).alias("has_content")).distinct(), "domain", "left").withColumn("has_content", F.coalesce("has_content", F.lit(False)))

@@ -78,9 +78,13 @@ def seed_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("domain", "has_content", "score")
 
 
-#: Page texts of two files, from documents, some without text.
-TEXTS = f"""SELECT concat('f', doc_id % 2) AS file, doc_id AS line_no, url, CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE substr(text, 1, 300) END AS text, concat('Title ', source) AS title,
- CAST(NULL AS STRING) AS meta_description, CASE WHEN doc_id % 3 = 0 THEN CAST(2 AS INT) END AS forms_count, doc_id % 6 = 3 AS has_password_field, 'direct' AS method, lang AS fetched_at, n_chars FROM {{documents}} JOIN {{pages}} ON doc_id = page_id"""
+#: The urls of documents: several for each domain, some of which have a brand's token.
+DOC_URL = "concat('http://www.', CASE doc_id % 5 WHEN 0 THEN 'theronbank-' WHEN 1 THEN 'my-shop' ELSE 'd' END, CAST(doc_id % 700 AS STRING), '.', coalesce(lang, 'xx'), '.example/verify/', CAST(doc_id AS STRING))"
+#: Page texts of two files: all documents, as they are.
+TEXTS = f"""SELECT concat('f', CAST(doc_id % 2 AS STRING)) AS file, doc_id AS line_no, {DOC_URL} AS url, text, concat('Title ', source) AS title,
+ CAST(NULL AS STRING) AS meta_description, CASE WHEN doc_id % 3 = 0 THEN CAST(2 AS INT) END AS forms_count, doc_id % 6 = 3 AS has_password_field, 'direct' AS method, lang AS fetched_at, n_chars FROM {{documents}}"""
+#: A seed for each of them, and one for a domain without text.
+SEEDS = f"SELECT doc_id AS page_id, {DOC_URL} AS url FROM {{documents}} UNION ALL SELECT -1, 'http://nothing.example/'"
 _CONTENT = f"""x AS ({plain(TEXTS)}), {sql_bare('url', 'x', 'file, line_no, url, text, title, meta_description, forms_count, has_password_field, method, fetched_at')},
 content AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY d ORDER BY file, line_no) AS n FROM bare WHERE d <> '' AND text <> '') WHERE n = 1)"""
 
@@ -96,7 +100,7 @@ def content_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _content(spark, sf_dir).select("domain", "file", "line_no", "title", "text")
 
 
-_FEATURES = f"""{_CONTENT}, s0 AS (SELECT page_id, url AS v FROM pages), {sql_bare('v', 's0', 'page_id, v', 's_')},
+_FEATURES = f"""{_CONTENT}, s0 AS (SELECT page_id, url AS v FROM ({plain(SEEDS)})), {sql_bare('v', 's0', 'page_id, v', 's_')},
 s AS (SELECT {URL_FEATURES}, page_id AS pid FROM s_bare),
 j AS (SELECT s.*, coalesce(c.text, '') AS text, c.title, c.file, c.forms_count, c.has_password_field, c.method, c.fetched_at FROM s LEFT JOIN content c ON s.domain = c.d)"""
 
@@ -107,7 +111,7 @@ SELECT j.page_id, url, domain, url_length, domain_length, subdomain_count, tld,
 coalesce(forms_count, 0)::BIGINT AS forms_count, coalesce(has_password_field, false) AS has_password_field, CASE WHEN forms_count IS NULL THEN 0 ELSE 2 END::BIGINT AS external_link_count, CASE WHEN forms_count IS NULL THEN '' ELSE 'a.example' END AS links_to_domains, method, fetched_at
 FROM j LEFT JOIN br ON j.pid = br.pid""")
 def features_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
+    p = shared(spark, sf_dir, SEEDS)
     seeds = p.select(F.col("page_id").cast("string").alias("record_id"), "url", U.bare_domain(F.col("url")).alias("domain"), F.lit(1).alias("label"), F.lit("s").alias("source"))
     rows = features.features(seeds, _content(spark, sf_dir), B.catalog(_brands(spark)))
     found = F.col("brand_matches")
@@ -119,6 +123,6 @@ def features_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_FEATURES} SELECT count(*) AS records, count(*) FILTER (text = '') AS missing_text FROM j")
 def feature_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
+    p = shared(spark, sf_dir, SEEDS)
     seeds = p.select(F.lit("").alias("record_id"), "url", U.bare_domain(F.col("url")).alias("domain"), F.lit(1).alias("label"), F.lit("s").alias("source"))
     return features.feature_stats(features.features(seeds, _content(spark, sf_dir), B.catalog(_brands(spark))))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions.strings import strip
 from ..functions.urls import normalize_domain, normalize_url
 from ..operators.relational import first_in_group, first_wins, union_all
+from .files import numbered
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,7 @@ def decoded(content: Column) -> Column:
     return F.call_function("make_valid_utf8", content.cast("string"))
 
 
-def numbered(text: Column) -> Column:
+def broken(text: Column) -> Column:
     """Lines with their numbers from 0."""
     return F.posexplode(F.split(text, BREAKS))
 
@@ -65,7 +66,7 @@ def plain_lines(texts: DataFrame, domains_only: bool = False, text: str = "text"
     Comments go; of a comma list the last field counts, unless the line is a url; what has no valid domain goes.
     """
     rest = [c for c in texts.columns if c != text]
-    v = texts.select(*rest, numbered(F.col(text)).alias("n", "v")).withColumn("v", strip(F.col("v"))).where(~F.col("v").rlike("^(#|!|//)") & (F.col("v") != ""))
+    v = texts.select(*rest, broken(F.col(text)).alias("n", "v")).withColumn("v", strip(F.col("v"))).where(~F.col("v").rlike("^(#|!|//)") & (F.col("v") != ""))
     field = F.when(F.contains("v", F.lit(",")) & ~F.col("v").rlike("^https?://"), strip(F.element_at(F.split("v", ","), -1))).otherwise(F.col("v"))
     v = v.withColumn("v", field).withColumn("domain", normalize_domain(F.col("v"))).where("domain != ''")
     url = F.concat(F.lit("http://"), "domain") if domains_only else normalize_url(F.col("v"))
@@ -103,11 +104,10 @@ def snapshot(spark: SparkSession, name: str, path: str, limit: int | None = None
     feed = FEEDS[name]
     if feed.kind == "phishtank_csv":
         lines = spark.read.csv(path, header=True, multiLine=True, escape='"')
-        rows = lines.select(F.struct("*").alias("x")).coalesce(1).select((F.monotonically_increasing_id() + 1).alias("record_no"), "x.*")
-        own = csv_records(rows)
+        own = csv_records(numbered(lines.select("*", "_metadata"), "record_no"))
     elif feed.kind == "tranco_zip":
         text = spark.read.format("binaryFile").load(path).select(first_csv("content").alias("text"))
-        fields = text.select(numbered(F.col("text")).alias("n", "v")).select((F.col("n") + 1).alias("line_no"), F.split("v", ",").alias("f")).where(F.size("f") >= 2)
+        fields = text.select(broken(F.col("text")).alias("n", "v")).select((F.col("n") + 1).alias("line_no"), F.split("v", ",").alias("f")).where(F.size("f") >= 2)
         own = ranked_records(fields.select("line_no", F.col("f")[0].alias("rank"), F.col("f")[1].alias("value")))
     else:
         text = spark.read.format("binaryFile").load(path).select(decoded(F.col("content")).alias("text"))

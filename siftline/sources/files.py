@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.strings import strip
 from ..schemas import BRAND
@@ -14,12 +15,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
+#: Splits whose line counts are sent to all tasks, at some 100 bytes each; for more, the lines move to them.
+SPLITS = 100_000
+
+
+def numbered(df: DataFrame, number: str) -> DataFrame:
+    """df, read from files as it is, with the number (from 1) of each row in its file.
+
+    A file's splits are read by several tasks. Each split's rows are counted, and the counts of a file's earlier splits
+    added up give where the split begins; in a split, rows come in the order of the file.
+    """
+    rows = df.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__at"), F.monotonically_increasing_id().alias("__row"))
+    splits = rows.groupBy("__path", "__at").agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("__path").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("__path", "__at", (before - F.col("__first") + 1).alias("__less"))
+    few = len(df.inputFiles()) + rows.rdd.getNumPartitions() <= SPLITS
+    return rows.join(F.broadcast(splits) if few else splits, ["__path", "__at"]).select(*df.columns, (F.col("__row") + F.col("__less")).alias(number))
+
+
 def numbered_lines(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
-    """file, line_no (from 1) and value of every line, blank ones included. A file is read whole, for its order."""
+    """file, line_no (from 1) and value of every line, blank ones included. Lines end with \\n or \\r\\n."""
     if missing_ok and not exists(spark, path):
-        return spark.createDataFrame([], "file string, line_no int, value string")
-    own = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("pos", "value"))
-    return own.select("file", (F.col("pos") + 1).alias("line_no"), "value")
+        return spark.createDataFrame([], "file string, line_no long, value string")
+    lines = spark.read.text(path, lineSep="\n")
+    own = numbered(lines.select(F.col("_metadata.file_name").alias("file"), F.regexp_replace("value", "\r$", "").alias("value"), "_metadata"), "line_no")
+    return own.select("file", "line_no", "value")
 
 
 def domain_set(spark: SparkSession, path: str) -> DataFrame:

@@ -184,6 +184,29 @@ def names(df: DataFrame, workers: int = 20, resolvers: list[str] = RESOLVERS, on
     return each_row(df, "domain", lambda d: asked(d, resolvers, one), "domain string, resolver string, ok boolean", workers)
 
 
+def list_page(url: str, page: int) -> str:
+    """The url of a list's page: by {page} in it, or else by a parameter from the second page on."""
+    return url.format(page=page) if "{page}" in url else url if page == 1 else f"{url}{'&' if '?' in url else '?'}page={page}"
+
+
+def list_pages(df: DataFrame, url: str, workers: int = 1, pause: float = 0.5, fetch: Callable | None = None, knows: Callable = resolves) -> DataFrame:
+    """page (text) and html of a list's pages, from df's column page. html is null where the host has no address, where
+    nothing below 400 is answered, and where the answer has no body. A list's host gets a request every `pause` seconds from
+    each of `workers` tasks."""
+    again = {} if fetch is None else {"fetch": fetch, "wait": lambda s: None}
+
+    def work(page: str) -> Iterator[tuple]:
+        at = list_page(url, int(page))
+        name = urllib.parse.urlsplit(at).hostname
+        if name and not knows(name):
+            yield page, None
+            return
+        status, charset, body, _ = get_again(at, **again)
+        yield page, None if status is not None and status >= 400 or body is None else decoded(body, charset)
+
+    return each_row(df, "page", work, "page string, html string", workers, pause)
+
+
 def copies(df: DataFrame, workers: int = 20, fetch: Callable = get) -> DataFrame:
     """domain, closest_status and body of the archive's copies of df's domains."""
     return each_row(df, "domain", lambda d: [archived(d, fetch)], "domain string, closest_status string, body string", workers)

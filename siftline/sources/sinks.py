@@ -27,19 +27,23 @@ def write_domains(df: DataFrame, path: str, fold_case: bool = False) -> None:
 
 
 def replace(df: DataFrame, path: str, backup: bool = False) -> None:
-    """Writes a text column to the file `path` through a staging folder; the old file goes, or stays as .bak."""
+    """Writes a text column to the file `path` through a staging folder; the old file goes, or stays as .bak.
+
+    The old file is only renamed before the new one is in its place, so that whatever breaks off in between, it is there:
+    under its own name, or as .bak or .old."""
     spark = df.sparkSession
     stage = f"{path}.{uuid.uuid4().hex}"
     df.coalesce(1).write.text(stage)
     fs, at = _fs(spark, path)
     part = next(s.getPath() for s in fs.listStatus(_path(spark, stage)) if s.getPath().getName().startswith("part-"))
+    held = _path(spark, f"{path}.{'bak' if backup else 'old'}")
     if fs.exists(at):
-        if backup:
-            fs.delete(_path(spark, f"{path}.bak"), False)
-            fs.rename(at, _path(spark, f"{path}.bak"))
-        else:
-            fs.delete(at, False)
-    fs.rename(part, at)
+        fs.delete(held, False)
+        fs.rename(at, held)
+    if not fs.rename(part, at):
+        raise OSError(f"{path} couldn't be put in place; what was there is {held.toString()}")
+    if not backup:
+        fs.delete(held, False)
     fs.delete(_path(spark, stage), True)
 
 

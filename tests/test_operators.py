@@ -1,6 +1,7 @@
 """Operators on small hand-written tables."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -195,3 +196,24 @@ def test_plans_stay_native(spark):
     except Exception:
         pytest.skip("the driver's tables aren't here")
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_large_catalog(spark):
+    """20,000 brands are found in one pass; a larger catalog, or one of too many letters, is refused."""
+    own = spark.range(20_000).select(F.col("id").alias("brand_no"), F.lit("c").alias("category"), F.concat(F.lit("Brand "), F.col("id") + 100_000).alias("name"), F.array().cast("array<string>").alias("official_domains"), F.lit(None).cast("array<string>").alias("aliases"), F.lit("s").alias("sector"))
+    held = brands.catalog(own)
+    df = spark.range(2000).select("id", F.concat(F.lit("brand"), F.col("id") * 7 + 100_000, F.lit(".example")).alias("d"), F.lit("now BRAND 119999! and more " * 20).alias("t"))
+    got = {r.id: [m.brand for m in r.m] for r in df.select("id", brands.matches(held, F.col("d"), F.col("t")).alias("m")).collect()}
+    assert got == {i: [f"Brand {i * 7 + 100_000}", "Brand 119999"] for i in range(2000)}
+    for rows in ([("x", "s", "c", ("abc",))] * 20_001, [("x", "s", "c", ("a" * 4_000_001,))]):
+        try:
+            brands.Catalog(tuple(rows))
+        except ValueError:
+            continue
+        raise AssertionError("not refused")
+
+
+def test_strip_is_linear(spark):
+    text = F.concat(F.lit("a"), F.repeat(F.lit(" "), 1_000_000), F.lit("\u3000b \t"))
+    began = time.time()
+    assert spark.range(1).select(F.length(strings.strip(text)).alias("n")).first().n == 1_000_003 and time.time() - began < 5

@@ -46,3 +46,19 @@ def test_like_sql(spark, duck, name):
     assert len(got) == len(want) and not diff, (len(got), len(want), diff[:3])
     for i, c in enumerate(order):
         assert len({r[i] for r in want}) > 1 or len(want) < 3 or c in ("label", "observed_at", "source", "verification_time") or any(r[i] is not None for r in want), c
+
+
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
+def test_code_is_generated(spark, name):
+    """No stage of a query's plan is too large to be compiled."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan()
+        for x in iter_of(spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.__getattr__("package").codegenStringSeq(plan)):
+            assert x._3().maxMethodCodeSize() != -1, x._1()[:1000]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def iter_of(seq):
+    return [seq.apply(i) for i in range(seq.length())]

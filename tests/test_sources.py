@@ -176,3 +176,70 @@ def test_commands(spark, tmp_path, capsys):
     out = [json.loads(x) for p in (root / "features/seed_features").glob("part-*") for x in p.read_text().splitlines()]
     assert len(out) == 3 + 5 and {r["domain"]: bool(r["text"]) for r in out}["x.example"]
     assert "Records: 8" in (root / "reports/seed.md").read_text() and "kept=1" in capsys.readouterr().out
+
+
+def test_order_over_many_splits(spark, tmp_path):
+    """A file of many splits gives the same lines with the same numbers as one split."""
+    (tmp_path / "x_black.jsonl").write_text("".join(f'{{"url":"u{i}","html":"{"h" * (i % 50)}"}}\n' + "\n" * (i % 3 == 0) for i in range(2000)))
+    (tmp_path / "y_white.jsonl").write_text("\n".join(f'{{"url":"w{i}"}}' for i in range(300)))
+    one = sorted((r.file, r.line_no, r.url) for r in files.raw_pages(spark, f"file://{tmp_path}", RAW_HTML).collect())
+    conf = {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "0"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    lines = files.numbered_lines(spark, f"file://{tmp_path}/x_black.jsonl")
+    many, parts = files.raw_pages(spark, f"file://{tmp_path}", RAW_HTML), lines.rdd.getNumPartitions()
+    got, order = sorted((r.file, r.line_no, r.url) for r in many.collect()), [r.line_no for r in lines.orderBy("line_no").collect()]
+    first = [r.line_no for r in files.domain_lines(spark, f"file://{tmp_path}/x_black.jsonl", 10).collect()]
+    for k in conf:
+        spark.conf.unset(k)
+    assert got == one and parts > 10 and order == list(range(1, len(order) + 1)) and first == [1, 3, 4, 5, 7, 8, 9, 11, 12, 13]
+    assert [(n, u) for f, n, u in one if f == "x_black.jsonl"][:4] == [(1, "u0"), (3, "u1"), (4, "u2"), (5, "u3")]
+
+
+def page_of(*items, pages=()):
+    return (200, None, ("".join(f'<span class="webkit-box-2">{i}</span>' for i in items) + "".join(f'<a href="?page={p}">' for p in pages)).encode(), None)
+
+
+def test_crawl_by_page_total(spark, tmp_path, monkeypatch):
+    """The first page tells how many pages there are; an empty page ends the list; unreachable ones are left out."""
+    monkeypatch.setattr(cli, "WAVE", 2)
+    asked = spark.sparkContext.accumulator(0)
+    told = {"http://l.example/": page_of("a.example", pages=[2, 9]), "http://l.example/?page=2": page_of("www.b.example/x"), "http://l.example/?page=3": (500, None, None, "e"), "http://l.example/?page=4": page_of("c.example"), "http://l.example/?page=5": page_of(), "http://l.example/?page=6": page_of("late.example")}
+
+    def fetch(u):
+        asked.add(1)
+        return told.get(u, (404, None, None, "e"))
+
+    crawl = lambda n, **how: sorted(r.domain for r in cli.crawled(spark, "scam", "http://l.example/", f"file://{tmp_path}/{n}", pause=0, fetch=fetch, **{"knows": lambda h: h == "l.example", **how}).collect())
+    assert crawl("a") == ["a.example", "b.example", "c.example"] and asked.value == 5
+    assert crawl("b", most=2) == ["a.example", "b.example"]
+    asked.value = 0
+    assert crawl("c", knows=lambda h: False) == [] and asked.value == 0
+    assert network.list_page("http://x/{page}.html", 1) == "http://x/1.html" and network.list_page("http://x/?a=b", 2) == "http://x/?a=b&page=2"
+
+
+def test_crawl_of_all_lists(spark, tmp_path):
+    """Without an address of one's own the known ones are asked."""
+    html = {cli.CRAWLS["scam"][1]: page_of("s.example"), cli.CRAWLS["trusted"][1]: (200, None, b'<a class="webkit-box-1"><span>t.example </span></a>', None), cli.CRAWLS["deny"][1]: (200, None, b'<i class="_urlText_1exle_106">d.example<', None)}
+    a = cli.parser().parse_args(["--root", f"file://{tmp_path}", "crawl"])
+    cli.crawl(spark, a, pause=0, fetch=lambda u: html.get(u, (404, None, None, "e")), knows=lambda h: True)
+    assert (tmp_path / "black_list.txt").read_text() == "d.example\ns.example\n" and (tmp_path / "white_list.txt").read_text() == "t.example\n"
+
+
+def test_fetch_goes_on(spark, tmp_path):
+    """Each batch is written when it is there; what broke off goes on with the rest."""
+    a = cli.parser().parse_args(["fetch", "--batch", "2", "--workers", "1", "--min-words", "1"])
+    df = spark.createDataFrame([(f"d{i}.example",) for i in range(9)], "domain string")
+    to = f"file://{tmp_path}/black.jsonl"
+
+    def breaks(u):
+        if "d3" in u:
+            raise KeyError(u)
+        return 200, None, b"some words", None
+
+    with pytest.raises(Exception, match="KeyError"):
+        cli.fetch_batches(spark, df, "black", to, a, fetch=breaks, one=lambda r, d: True)
+    there = {r.url for r in spark.read.json(to).collect()} if files.exists(spark, to) else set()
+    left = df.join(spark.createDataFrame([(u,) for u in there], "domain string"), "domain", "left_anti")
+    cli.fetch_batches(spark, left, "black", to, a, fetch=lambda u: (200, None, b"some words", None), one=lambda r, d: True)
+    assert sorted(r.url for r in spark.read.json(to).collect()) == [f"d{i}.example" for i in range(9)] and len(list((tmp_path / "black.jsonl").glob("part-*"))) > 2
