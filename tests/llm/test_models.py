@@ -260,3 +260,13 @@ def test_like_sql(spark, name):
     df = registry.queries()[name](spark, SF)
     assert sorted(names) == sorted(df.columns)
     assert sorted(cur.fetchall()) == sorted(tuple(r) for r in df.select(names).collect())
+
+
+@tables
+def test_grades_of_unseen_documents(spark):
+    """Fitted on odd doc_ids, judged on even ones."""
+    docs, lab = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    model = ordinal.fit(docs, lab.where("doc_id % 2 = 1"))
+    own = ordinal.judge(docs.where("doc_id % 2 = 0"), model).join(lab, "doc_id")
+    right = own.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("kept") == F.expr("quality = 1 AND toxic = 0")).cast("int")).alias("share")).first()
+    assert right.n > 500 and right.share > 0.95
