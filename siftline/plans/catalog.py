@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import domains, pages, records, seeds  # noqa: F401  each module registers its queries
+from . import domains, pages, records, seeds, stored  # noqa: F401  each module registers its queries
 from .registry import QUERIES, SQL, Query
 
 
