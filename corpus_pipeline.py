@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.llm import bpe, common, decontam, langid, linelog, neardup
+from siftline.session import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -70,7 +71,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     computed when its rows are asked for, stay."""
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        at = common.scratch(spark, name)
+        at = scratch(spark, name)
         stage(spark, docs, sf_dir).write.parquet(at)
         if before:
             common.remove(spark, before)
