@@ -1,46 +1,23 @@
-"""What several operators share: the shared folder, lineage cuts, words and mixing functions."""
+"""What several operators share: lineage cuts, words and mixing functions."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_dir
+
 U64 = np.uint64
 GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset and the executors run on the
-    driver's own machine, a new one there. On a cluster there has to be one."""
-    sc = spark.sparkContext
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where is None:
-        held = sc._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            return held.get()
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is unset: driver and executors share no folder")
-        where = "file://" + tempfile.mkdtemp(prefix="siftline-")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(where)
-    return where
-
-
 def cut(df: DataFrame) -> DataFrame:
     """df computed once, kept in the shared folder, without its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

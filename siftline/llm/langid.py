@@ -174,7 +174,12 @@ def fit(docs: DataFrame, sample: int = 3000, most: int = 256) -> Net | None:
 
 
 def predict(docs: DataFrame, net: Net | None, into: str = "spoken") -> DataFrame:
-    """docs with a struct (lang_pred, score) in the column `into`; only the text is read for it."""
+    """docs with a struct (lang_pred, score) in the column `into`; only the text is read for it.
+
+    A row for each of docs', rows that share a doc_id or have none too; no rows of no rows. A text that is null, empty or
+    without a letter is `und` with 0; others count to their end, a part at a time. Equal probabilities go to the language
+    that comes first by name. A column of docs named `into` is replaced, others stay as they are.
+    """
 
     @F.arrow_udf("lang_pred string, score double")
     def each(column: Iterator[pa.Array]) -> Iterator[pa.Array]:

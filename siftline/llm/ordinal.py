@@ -90,14 +90,18 @@ def learn(tokens: list[np.ndarray], grade: np.ndarray, n_grades: int, steps: int
     return Model(weights, t)
 
 
-def fit(docs: DataFrame, labels: DataFrame, grade: str = GRADE, n_grades: int = 3, sample: int = 8000) -> Model:
-    """Learns from about `sample` graded documents, chosen by a hash of doc_id.
+def fit(docs: DataFrame, labels: DataFrame, grade: str = GRADE, n_grades: int = 3, sample: int = 8000, most: int = 1 << 27) -> Model:
+    """Learns from about `sample` graded documents, chosen by a hash of doc_id; from fewer, where those would be more than
+    `most` bytes of text.
 
     A document with several labels takes the lowest grade; labels without a grade or a document are left out. Without
     any, the model gives all texts the same probabilities.
     """
     graded = labels.select("doc_id", F.expr(grade).cast("int").alias("grade")).where("grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, sample / max(1, labels.count())) * (1 << 20))
+    hashed_to = lambda part: F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20))
+    part = min(1.0, sample / max(1, labels.count()))
+    held = docs.where(hashed_to(part)).select("doc_id", F.octet_length("text").alias("n")).join(graded.where(hashed_to(part)), "doc_id").agg(F.sum("n")).first()[0] or 0
+    share = hashed_to(part * min(1.0, most / max(1, held)))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,7 +118,9 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = GRADE, n_grades: int =
 def judge(docs: DataFrame, model: Model, wanted: int = 2, least: float = 0.5) -> DataFrame:
     """doc_id, expected_grade, p_tail (of grade `wanted` or better) and kept (p_tail >= least), a row for each of docs'.
 
-    A null text counts as empty; it is graded by its size and variety, like any other.
+    Rows that share a doc_id or have none are judged one by one; no rows of no rows. A null text counts as empty; it is
+    graded by its size and variety, like any other. Texts count to their end; columns other than doc_id and text are
+    left out.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -210,6 +210,10 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The counts with base_failed (under 10 words, or over a fifth of them repeated) and kept."""
+    """The counts with base_failed (under 10 words, or over a fifth of them repeated) and kept.
+
+    A row for each of docs', rows that share a doc_id or have none too; no rows of no rows. A null or empty text has no
+    words and fails. Only doc_id and text are read, whatever other columns are named; texts count to their end.
+    """
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return counts(docs).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))

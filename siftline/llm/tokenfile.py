@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import cut, equal_slices, parts, remove, scratch, slice_hashes
+from ..session import scratch
+from .common import cut, equal_slices, parts, remove, slice_hashes
 
 SKIP, TABLE, MAGIC = 0x184D2A50, 0x184D2A5E, b"\xb1\xea\x92\x8f"
 #: Bytes of ids in a frame, and compressed bytes in a file, beyond which a new one begins.

@@ -197,7 +197,7 @@ def test_long_urls(spark):
     assert got[0].verdict == "allow" and got[1].rule == "com/en/" and len(got[0].path) == 200_001
 
 
-def test_ordinal(spark):
+def test_ordinal(spark, monkeypatch):
     rng = random.Random(3)
     words = {0: "aa bb cc".split(), 1: "dd ee ff".split(), 2: "gg hh ii".split()}
     rows, labels = [], []
@@ -213,6 +213,11 @@ def test_ordinal(spark):
     assert len(got) == len(rows) + len(odd) and all(0 <= r.p_tail <= 1 and 0 <= r.expected_grade <= 2 and r.kept == (r.p_tail >= 0.5) for r in got)
     held = [abs(r.expected_grade - r.doc_id % 3) < 0.5 for r in got if r.doc_id is not None and 0 < r.doc_id < 300 and r.doc_id % 5 == 0]
     assert np.mean(held) > 0.9 and list(model.thresholds) == sorted(model.thresholds)
+    learned = []
+    monkeypatch.setattr(ordinal, "learn", lambda tokens, *_: learned.append(len(tokens)))
+    for most in (1 << 27, 5000):
+        ordinal.fit(df, lab.where("doc_id % 5 <> 0"), most=most)
+    assert learned[0] >= 240 and 0 < learned[1] < learned[0] / 2
     empty = ordinal.fit(df, lab.limit(0))
     assert {round(r.p_tail, 6) for r in ordinal.judge(df, empty).collect()} == {round(1 - float(ordinal.logistic(np.array(1.0))), 6)}
     assert ordinal.judge(df.limit(0), model).collect() == []

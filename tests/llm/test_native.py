@@ -34,6 +34,14 @@ def test_counts(spark):
     assert got == [brute_counts(t) for t in [*texts, None]]
 
 
+def test_long_texts(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(50_000)}" for _ in range(100_000)), "\n".join(["one two three four five six"] * 15_000), "x" * 1_000_000, "a " * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:6] for r in rules.judge(df, []).collect()}
+    assert [got[i] for i in range(len(texts))] == [brute_counts(t) for t in texts]
+
+
 def test_base(spark):
     for r in rules.judge(spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string"), []).collect():
         n, _, _, _, again = brute_counts(TEXTS[r.doc_id])
