@@ -42,48 +42,53 @@ def explicit(pattern: str) -> str:
     return inside.replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
 
 
+def put(tree: list[int], at: int, value: int) -> None:
+    """Sets a node and those above it, as far as their minima change."""
+    tree[at] = value
+    while at > 1:
+        other = tree[at ^ 1]
+        if other < value:
+            value = other
+        at >>= 1
+        if tree[at] == value:
+            return
+        tree[at] = value
+
+
 def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one piece: again and again the leftmost pair of least rank is merged."""
+    """The ids of one piece: again and again the leftmost pair of least rank is merged.
+
+    A pair's leaf holds its rank times n, plus its position. Each position but the last has a leaf, and the tree just as
+    many leaves: its node 1 is over all of them, whatever their number.
+    """
     if (whole := ranks.get(piece)) is not None:
         return [whole]
     n = len(piece)
     if n < 2:
         return [ranks[piece]] if n else []
-    size = 1 << (n - 1).bit_length()
-    tree = [NONE] * (2 * size)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    for i in range(n - 1):
-        if (r := ranks.get(piece[i : i + 2])) is not None:
-            tree[size + i] = r << 32 | i
-    for i in range(size - 1, 0, -1):
+    get, leaves = ranks.get, n - 1
+    tree = [NONE] * leaves
+    for i in range(leaves):
+        tree.append(NONE if (r := get(piece[i : i + 2])) is None else r * n + i)
+    for i in range(leaves - 1, 0, -1):
         a, b = tree[2 * i], tree[2 * i + 1]
         tree[i] = a if a < b else b
-
-    def put(at: int, value: int) -> None:
-        at += size
-        tree[at] = value
-        while at > 1:
-            at >>= 1
-            a, b = tree[2 * at], tree[2 * at + 1]
-            least = a if a < b else b
-            if tree[at] == least:
-                return
-            tree[at] = least
-
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     while (top := tree[1]) < NONE:
-        i = top & 0xFFFFFFFF
+        i = top % n
         j = after[i]
         k = after[i] = after[j]
-        put(j, NONE)
+        if j < leaves:
+            put(tree, leaves + j, NONE)
         if k < n:
             before[k] = i
-            r = ranks.get(piece[i : after[k]])
-            put(i, NONE if r is None else r << 32 | i)
+            r = get(piece[i : after[k]])
+            put(tree, leaves + i, NONE if r is None else r * n + i)
         else:
-            put(i, NONE)
+            put(tree, leaves + i, NONE)
         if (h := before[i]) >= 0:
-            r = ranks.get(piece[h : after[i]])
-            put(h, NONE if r is None else r << 32 | h)
+            r = get(piece[h:k])
+            put(tree, leaves + h, NONE if r is None else r * n + h)
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
