@@ -46,7 +46,7 @@ def squash(c: Column) -> Column:
 
 def latin_share(c: Column) -> Column:
     """The share of characters from U+0080 to U+00FF; 0 for an empty text."""
-    return F.when(F.length(c) > 0, F.length(F.regexp_replace(c, "[^\\x{80}-\\x{ff}]", "")) / F.length(c)).otherwise(0.0)
+    return F.when(F.length(c) > 0, F.length(F.regexp_replace(c, "[^\\x{80}-\\x{ff}]+", "")) / F.length(c)).otherwise(0.0)
 
 
 def looks_mojibake(c: Column, min_length: int = 0) -> Column:
