@@ -8,7 +8,11 @@
    fifth word is another has 0.6. Around seeds none of which is rare, what has too few of the item's words to reach the
    bound isn't aligned: a score is at most the number of matches, so no pair is lost to a seed's frequency.
 
-A copy without n consecutive words in common with its item has no seed and isn't found, whatever its score.
+A copy without n consecutive words in common with its item has no seed and isn't found. With n = 3 and a bound of 0.5
+that can't happen by replaced and left-out words: if x of an item's L words are so, the score is (L - 2x) / L at most, x
+is L / 4 at most, and of the x + 1 runs that are left one has 3 words or more wherever L is over 8. Only words put in,
+which cost 1 and no match, can do it: one after every second word of the item. A seed alone is no finding: local scores
+under FEWEST count as none, so that a phrase doesn't stand for a short item.
 
 Items are few beside documents: a stated query set, held against all documents in blocks of at most BLOCK words, each of
 which is small enough for every task. Documents don't move between executors.
@@ -26,7 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import U64, Words, cut, parts, runs, utf8
 
-N = 4
+N = 3
+#: The least local score, in words, that counts for short items too.
+FEWEST = 4
 RARER, FLOOR = 4, 20
 #: Words of the items in a block, and bytes of documents that a task takes at a time.
 BLOCK, PART = 1 << 20, 1 << 22
@@ -151,7 +157,7 @@ def aligned(items: Items, w: Words, n: int, least: float) -> tuple[np.ndarray, n
     a, b, able = [], [], np.ones(len(text), bool)
     for k, (t, i, x, y, rare) in enumerate(zip(text.tolist(), item.tolist(), lo.tolist(), hi.tolist(), few.tolist(), strict=True)):
         own = items.words[i]
-        more = len(own) // 4 + n
+        more = int((1 - least) * len(own)) + n  # with more words left out or put in, an alignment is under the bound
         around = w.hash[max(int(w.first[t]), x - more) : min(int(w.first[t + 1]), y + len(own) + more)]
         if not rare and np.isin(own, around).sum() < least * len(own):
             able[k] = False
@@ -161,7 +167,8 @@ def aligned(items: Items, w: Words, n: int, least: float) -> tuple[np.ndarray, n
     text, item = text[able], item[able]
     if not len(text):
         return none, none, np.empty(0)
-    score = align(a, b) / np.array([len(x) for x in a])
+    found = align(a, b)
+    score = np.where(found >= FEWEST, found, 0) / np.array([len(x) for x in a])
     order = np.lexsort((score, item, text))
     last = np.concatenate(((text[order][1:] != text[order][:-1]) | (item[order][1:] != item[order][:-1]), [True]))
     own = order[last]
@@ -203,7 +210,7 @@ def rare_items(docs: DataFrame, items: DataFrame, n: int) -> Iterator[Items]:
 def pairs(docs: DataFrame, items: DataFrame, n: int = N, least: float = 0.5) -> DataFrame:
     """doc_id, item_id and score of the pairs whose score is `least` or more.
 
-    docs has doc_id and text, items item_id and text. Items of fewer than n words match nothing, nor do null texts.
+    docs has doc_id and text, items item_id and text. Items of fewer than FEWEST words match nothing, nor do null texts.
     Rows that share a doc_id are one document with the best score of them. Rows without doc_id match with a null one.
     """
     found = None

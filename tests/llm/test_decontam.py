@@ -78,3 +78,47 @@ def test_hot_edited_copies(spark):
     got = {r.doc_id: (r.contaminated, r.score) for r in decontam.judge(df, tests).collect()}
     assert got == {d: (True, 41 / 60) if d < 1000 else (True, 32 / 60) if d < 2000 else (False, 0.0) for d, _ in docs}
     assert {r.doc_id for r in decontam.clean(df, tests).collect()} == {d for d, _ in docs if d >= 2000}
+
+
+def found(items, docs):
+    """What decontam finds of texts, without Spark: (text, item) to score."""
+    w = decontam.words([" ".join(x).encode() for x in docs])
+    every = decontam.Items.of(list(range(len(items))), [" ".join(x) for x in items], decontam.N)
+    seen = np.zeros(len(every.seeds), np.int64)
+    at, seed = every.hits(w, decontam.N)
+    for s in set(zip(w.text_of(at).tolist(), seed.tolist(), strict=True)):
+        seen[s[1]] += 1
+    text, item, score = decontam.aligned(every.rare(seen), w, decontam.N, 0.5)
+    return {(t, i): x for t, i, x in zip(text.tolist(), item.tolist(), score.tolist(), strict=True) if x >= 0.5}
+
+
+def test_no_replaced_or_left_out_words_hide_a_copy():
+    """All pairs of the bound, by brute force over whole texts, with as many edits as the bound bears."""
+    rng = random.Random(5)
+    items = [[f"{i}w{rng.randrange(1 + n)}" for _ in range(n)] for i, n in enumerate([9, 12, 16, 24, 33, 40, 57, 60] * 2)]
+    docs = []
+    for own in items:
+        for share in (0.2, 0.25, 0.27):
+            for gone in (False, True):
+                edited, x = list(own), round(share * len(own))
+                for k in [j * len(own) // x for j in range(x)] if rng.random() < 0.7 else rng.sample(range(len(own)), x):
+                    edited[k] = None if gone else f"x{rng.randrange(9)}"
+                docs.append([*(f"y{rng.randrange(9)}" for _ in range(rng.randrange(30))), *(w for w in edited if w), *(f"z{rng.randrange(9)}" for _ in range(rng.randrange(30)))])
+    want = {(t, i): s / len(b) for t, a in enumerate(docs) for i, b in enumerate(items) if (s := brute(b, a)) >= 0.5 * len(b)}
+    assert found(items, docs) == want and 30 < len(want) < len(docs)
+
+
+def test_words_put_in():
+    """One after every third word, all behind the first words, and as far apart as the bound bears."""
+    item = [f"w{i}" for i in range(60)]
+    every_third = [x for i, w in enumerate(item) for x in ([w, f"x{i}"] if i % 3 == 2 else [w])]
+    one_gap = [*item[:30], *(f"x{i}" for i in range(29)), *item[30:]]
+    two_by_two = [*item[:4], *(x for i in range(4, 60, 2) for x in ([f"x{i}", *item[i : i + 2]]))]
+    docs = [every_third, one_gap, two_by_two]
+    assert found([item], docs) == {(i, 0): brute(item, x) / 60 for i, x in enumerate(docs)} == {(0, 0): 41 / 60, (1, 0): 31 / 60, (2, 0): 32 / 60}
+
+
+def test_a_phrase_is_no_item():
+    items = [["what", "is", "the", "name", "of", "it"], ["what", "is", "the"], ["what", "is", "the", "name"]]
+    docs = [["so", "what", "is", "the", "point"], ["say", "what", "is", "the", "name", "here"]]
+    assert found(items, docs) == {(1, 0): 4 / 6, (1, 2): 1.0}
