@@ -1,4 +1,4 @@
-"""Language ID, url filter and ordinal quality: odd rows, brute force for what is exact, held-out accuracy for models."""
+"""Language ID, url filter, ordinal quality and learned rules: odd rows, brute force for what is exact, held-out accuracy for models."""
 
 import collections
 import functools
@@ -11,7 +11,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftline.llm import langid, ordinal, registry, urlfilter
+from siftline.llm import langid, ordinal, registry, rules, urlfilter
+
+from .test_native import WORD, brute_counts
 
 SF = "/root/testdata/sf0.001"
 tables = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
@@ -275,3 +277,33 @@ def test_grades_of_unseen_documents(spark):
     own = ordinal.judge(docs.where("doc_id % 2 = 0"), model).join(lab, "doc_id")
     right = own.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("kept") == F.expr("quality = 1 AND toxic = 0")).cast("int")).alias("share")).first()
     assert right.n > 500 and right.share > 0.95
+
+
+@tables
+def test_rules_like_brute_force(spark):
+    """op3's whole result: counts in plain Python, then the learned list in numpy, its first rule that holds rejecting."""
+    docs, lab = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    learned = rules.fit(docs, lab)
+    got = {r.doc_id: r for r in registry.op3_quality_rules(spark, "/root/testdata/sf0.01").collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert learned and len(got) == len(rows)
+    for d, text in rows:
+        n, chars, symbols, dup, repeats = brute_counts(text)
+        words, of = WORD.findall(text or ""), max(n, 1)
+        x = np.array([[n, chars / of, symbols / of, dup / of, repeats / of, len(re.findall("[A-Z]", text or "")) / max(chars, 1), (text or "").count("!") / of, len(set(words)) / of]])
+        failed = n < 10 or 100 * repeats > 20 * n
+        want = (d, n, chars, symbols, dup, repeats, failed, not failed and not any(rules.holds(r, x)[0] for r in learned))
+        assert tuple(got[d]) == want
+    assert {r.kept for r in got.values() if not r.base_failed} == {True, False}
+
+
+@tables
+def test_rules_on_unseen_documents(spark):
+    """Learned from odd doc_ids, held against the labels of even ones, among documents that the base rules pass."""
+    docs, lab = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    lab = lab.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    learned = rules.fit(docs, lab.where("doc_id % 2 = 1"))
+    own = rules.judge(docs.where("doc_id % 2 = 0").join(lab, "doc_id", "left_semi"), learned).where("NOT base_failed").join(lab, "doc_id")
+    got = {(r.quality, r.kept): r["count"] for r in own.groupBy("quality", "kept").count().collect()}
+    assert got[0, False] >= 0.9 * (got[0, False] + got.get((0, True), 0)) > 90
+    assert got.get((1, False), 0) <= 0.01 * got[1, True]
