@@ -19,6 +19,8 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
+from .common import SLICE, kept, lean
+
 NONE = 1 << 62
 #: Characters on which the standard module's classes agree with Unicode's; others take the slower way.
 LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -132,14 +134,12 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
-    """One for each worker process and file."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(read_ranks(path), pattern)
-    return _codecs[path, pattern]
+    """One for each worker process and file, until the process works for another operator."""
+    codecs = kept("bpe")
+    if (path, pattern) not in codecs:
+        codecs[path, pattern] = Codec(read_ranks(path), pattern)
+    return codecs[path, pattern]
 
 
 def place(path: str) -> str:
@@ -155,6 +155,7 @@ def add_tokens(df: DataFrame, path: str, pattern: str, text: str = "text", ids:
     from pyspark.sql.types import ArrayType, IntegerType
 
     @F.arrow_udf(ArrayType(IntegerType()))
+    @lean("bpe")
     def encoded(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(place(path), pattern)
         for texts in column:
@@ -175,6 +176,7 @@ def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     A null text counts as empty: no ids, and the digests of the empty string.
     """
 
+    @lean("bpe")
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(place(path), pattern)
         for batch in batches:
@@ -195,11 +197,12 @@ def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
     A null text counts as empty.
     """
 
+    @lean("bpe")
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(place(path), pattern)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 ids = [c.encode(t) for t in texts]
                 same = [c.decode(i) == t.encode("utf-8", "surrogatepass") for i, t in zip(ids, texts, strict=True)]

@@ -1,7 +1,11 @@
-"""What several operators share: lineage cuts, words and mixing functions."""
+"""What several operators share: lineage cuts, what workers keep, words and mixing functions."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +15,46 @@ from ..session import shared_dir
 U64 = np.uint64
 GOLDEN = U64(0x9E3779B97F4A7C15)
 
+#: Rows of a batch whose texts are Python's objects at a time.
+SLICE = 256
+#: What this worker process keeps from task to task, by operator.
+KEPT: dict[str, dict] = {}
+#: Hands what is freed back to the system; only some C libraries have it.
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def kept(operator: str) -> dict:
+    return KEPT.setdefault(operator, {})
+
+
+def drop_others(operator: str) -> None:
+    for other in KEPT.keys() - {operator}:
+        del KEPT[other]
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if TRIM:
+        TRIM(0)
+
+
+def lean(operator: str) -> Callable[[Callable], Callable]:
+    """For functions of batches. A worker process outlives its task, and idle ones count as much of their executor's memory
+    as busy ones. So a task begins without what other operators' tasks have kept and ends by giving back what it has freed."""
+
+    def of(each: Callable) -> Callable:
+        @functools.wraps(each)
+        def run(batches: Iterator) -> Iterator:
+            drop_others(operator)
+            try:
+                yield from each(batches)
+            finally:
+                give_back()
+
+        return run
+
+    return of
+
 
 def cut(df: DataFrame) -> DataFrame:
     """df computed once, kept in the shared folder, without its lineage."""

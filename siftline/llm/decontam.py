@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Words, cut, parts, runs, utf8
+from .common import U64, Words, cut, lean, parts, runs, utf8
 
 N = 3
 #: The least local score, in words, that counts for short items too.
@@ -190,6 +190,7 @@ def rare_items(docs: DataFrame, items: DataFrame, n: int) -> Iterator[Items]:
     for rows in blocks(items, "item_id", "text"):
         every = Items.of([r["id"] for r in rows], [r["text"] for r in rows], n)
 
+        @lean("decontam")
         def counted(batches: Iterator[pa.RecordBatch], every: Items = every) -> Iterator[pa.RecordBatch]:
             seen = np.zeros(len(every.seeds), np.int64)
             for batch in batches:
@@ -216,6 +217,7 @@ def pairs(docs: DataFrame, items: DataFrame, n: int = N, least: float = 0.5) ->
     found = None
     for rare in rare_items(docs, items, n):
 
+        @lean("decontam")
         def scored(batches: Iterator[pa.RecordBatch], rare: Items = rare) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = utf8(batch.column(1))
@@ -244,6 +246,7 @@ def clean(docs: DataFrame, items: DataFrame, n: int = N, least: float = 0.5) ->
     at, out = docs.columns.index("text"), docs
     for rare in rare_items(docs, items, n):
 
+        @lean("decontam")
         def kept(batches: Iterator[pa.RecordBatch], rare: Items = rare) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts, ok = utf8(batch.column(at)), np.ones(len(batch), bool)

@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import SLICE, lean
+
 WINDOW = 256
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -182,9 +184,13 @@ def predict(docs: DataFrame, net: Net | None, into: str = "spoken") -> DataFrame
     """
 
     @F.arrow_udf("lang_pred string, score double")
+    @lean("langid")
     def each(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in column:
-            langs, scores = spoken(net, texts.to_pylist())
+            langs, scores = [], []
+            for at in range(0, len(texts), SLICE):
+                for all_, own in zip((langs, scores), spoken(net, texts.slice(at, SLICE).to_pylist()), strict=True):
+                    all_ += own
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     return docs.withColumn(into, each(F.col("text")))

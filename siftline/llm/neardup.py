@@ -30,7 +30,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, U64, Words, cut, mix, parts, runs, utf8
+from .common import GOLDEN, U64, Words, cut, lean, mix, parts, runs, utf8
 from .components import apart, roots
 
 M, ROWS, BASE, SHIFT = 128, 4, 1.001, 4096
@@ -106,6 +106,7 @@ def margin(threshold: float) -> float:
 def sketched(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n (size of the set), s1 and s2 (which tell the set) and regs, a row for each of docs'."""
 
+    @lean("neardup")
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch.column(1))
@@ -124,6 +125,7 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
 def banded(reps: DataFrame) -> DataFrame:
     """key, band and id: a row for each band of each class."""
 
+    @lean("neardup")
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = M // ROWS
         for batch in batches:
@@ -142,6 +144,7 @@ def estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     both = pairs.join(side("a"), "a").join(side("b"), "b").where((F.col("na") >= threshold * F.col("nb")) & (F.col("nb") >= threshold * F.col("na")))
     least = margin(threshold)
 
+    @lean("neardup")
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ra, rb = (np.frombuffer(b"".join(batch.column(x).to_pylist()), "<u2").reshape(-1, M) for x in ("ra", "rb"))
@@ -155,6 +158,7 @@ def estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
 def fine(sets: DataFrame) -> DataFrame:
     """id and least: the upper halves of the FINE least elements of each set, and whether those are all."""
 
+    @lean("neardup")
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [np.frombuffer(x.values.buffers()[1], "<u8", len(x.values), 8 * x.values.offset)[:FINE] >> U64(32) for x in batch.column(1)]
@@ -220,6 +224,7 @@ def across(mixed: DataFrame, threshold: float) -> DataFrame:
         a, b = np.array(out, np.int64).reshape(-1, 2).T
         return a, b
 
+    @lean("neardup")
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         last = None
@@ -268,6 +273,7 @@ def blocked(members: DataFrame, torn: DataFrame) -> DataFrame:
 def set_table(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """id and elements of the documents whose ids are in ids."""
 
+    @lean("neardup")
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch.column(1))

@@ -1,11 +1,15 @@
+import gc
 import os
+import weakref
+from types import SimpleNamespace
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
 import corpus_pipeline
-from siftline.llm import bpe
+from siftline.llm import bpe, neardup
 
 from .test_native import brute_lines
 from .test_neardup import brute
@@ -66,3 +70,19 @@ def test_no_stage_is_computed_twice(spark, monkeypatch):
     got = corpus_pipeline.run(spark, SF)
     n = got.count()
     assert 0 < n <= count["near_duplicates"].value <= count["lines"].value == count["language"].value <= spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_workers_keep_no_other_stages_memory(spark):
+    """A worker process lives on from stage to stage: the tokenizer that it keeps for its next task goes once it works for
+    another stage."""
+    task = SimpleNamespace(select=lambda *columns: SimpleNamespace(mapInArrow=lambda each, schema: each))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(600)), "text": [None, "a b c d e f"] * 300})
+    ids, sketches = corpus_pipeline.token_ids(spark, task, SF), neardup.sketched(task, 5)
+    assert sum(map(len, ids(iter([batch])))) == 600
+    kept = weakref.ref(bpe.codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN))
+    list(ids(iter([batch])))
+    gc.collect()
+    assert kept() is not None
+    assert sum(map(len, sketches(iter([batch])))) == 600
+    gc.collect()
+    assert kept() is None
