@@ -5,7 +5,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from siftline.llm import neardup
+from siftline.llm import components, neardup
 from siftline.llm.components import roots
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -134,3 +134,64 @@ def test_components(spark):
         a, b = sorted((find(u), find(v)))
         root[b] = a
     assert got == {x: find(x) for x in list(root) if find(x) != x}
+
+
+def least_reached(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        a, b = sorted((find(u), find(v)))
+        root[b] = a
+    return {x: find(x) for x in list(root) if find(x) != x}
+
+
+def odd_edges(seed):
+    """A path, one whose ends come before its middle, a hub, repeated and reversed links, loops and random ones."""
+    rng = random.Random(seed)
+    edges = [(i, i + 1) for i in range(60)] + [(100 + i, 100 + (i * 37 + 37) % 101) for i in range(101)] + [(1000, i) for i in range(201, 500)]
+    edges += [(rng.randrange(2000, 2600), rng.randrange(2000, 2600)) for _ in range(350)] + [(5, 5), (-7, 2**62), (2**62, -7)] + [(9000, 9000)]
+    edges += edges[:30] + [(v, u) for u, v in edges[30:60]]
+    rng.shuffle(edges)
+    return edges
+
+
+def test_components_in_rounds(spark, monkeypatch):
+    """Tasks that hold a few links each leave the rest to rounds."""
+    monkeypatch.setattr(components, "OWN", 16)
+    for seed in (1, 2):
+        edges = odd_edges(seed)
+        assert {r.node: r.root for r in roots(spark.createDataFrame(edges, "u long, v long")).collect()} == least_reached(edges)
+    assert roots(spark.createDataFrame([], "u long, v long")).collect() == []
+    assert roots(spark.createDataFrame([(3, 3)], "u long, v long")).collect() == []
+
+
+def test_forest():
+    for seed in range(20):
+        edges = odd_edges(seed)
+        got = components.forest(*np.array(edges, np.int64).T)
+        assert dict(zip(*map(np.ndarray.tolist, got), strict=True)) == least_reached(edges) and len(set(got[0])) == len(got[0])
+
+
+def test_tasks_of_components(spark):
+    """Few links take few tasks, however many partitions they come in: each one that is shuffled leaves files."""
+    conf = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, sc, edges = {k: spark.conf.get(k) for k in conf}, spark.sparkContext, odd_edges(3)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        links = spark.createDataFrame(edges, "u long, v long").repartition(50).localCheckpoint()
+        sc.setJobGroup("few links", "")
+        got = {r.node: r.root for r in roots(links).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    told = sc.statusTracker()
+    stages = {s for j in told.getJobIdsForGroup("few links") for s in told.getJobInfo(j).stageIds}
+    tasks = sum(told.getStageInfo(s).numTasks for s in stages if told.getStageInfo(s))
+    assert got == least_reached(edges) and tasks <= 4 * 50, tasks
