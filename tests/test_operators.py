@@ -81,6 +81,16 @@ def test_html(spark):
     assert [(x.x.error, x.x.text_length, x.x.external_links) for x in r[1:]] == [("no html content", 0, [])] * 2
 
 
+CUT = '<title>A&amp;&B &copy; 1 &amp</title><meta name="description" content="cut &lt"><a href="http://o.example/?a=1&copy=2&amp;b">x &ampy; &nosuch; &#38; &#x26 &quot</a>'
+
+
+def test_cut_references(spark):
+    """Named references without their semicolon stay as they are in titles, texts and attributes."""
+    x = spark.createDataFrame([("u.example", CUT)], "url string, html string").select(html.page_text(F.col("url"), F.col("html")).alias("x")).first().x
+    assert (x.title, x.meta_description, x.external_links) == ("A&&B © 1 &amp", "cut &lt", ["http://o.example/?a=1&copy=2&b"])
+    assert x.text == "A&&B © 1 &amp\nx &ampy; &nosuch; & & &quot"
+
+
 def test_markup(spark):
     scam = '<span class="a webkit-box-2"> https://www.A.example/x\n</span><span class="webkit-box-2">a.example</span>'
     trusted = '<a class="webkit-box-1" href="x">\n<span>b.example </span></a><span class="webkit-box-1">c.example</span>'
