@@ -91,6 +91,16 @@ def test_cut_references(spark):
     assert x.text == "A&&B © 1 &amp\nx &ampy; &nosuch; & & &quot"
 
 
+def test_visible_cut_references(spark, tmp_path):
+    """The query itself, on texts and titles that end within a reference, one of them the page's end."""
+    from siftline.plans import catalog as c
+
+    pages = [(1, "http://a.example/", "<title>of&amp;&amp</title><p>of&amp;&amp</p><p>a&ltb &lt; c&nbspd</p><nav>n&amp</nav>z&amp"), (2, "http://b.example/", CUT)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.text, r.words) for r in c.queries()["visible_text"](spark, str(tmp_path)).collect()}
+    assert got == {1: ("of&&amp\nof&&amp\na&ltb < c&nbspd\nz&amp", 6), 2: ("A&&B © 1 &amp\nx &ampy; &nosuch; & & &quot", 10)}
+
+
 def test_markup(spark):
     scam = '<span class="a webkit-box-2"> https://www.A.example/x\n</span><span class="webkit-box-2">a.example</span>'
     trusted = '<a class="webkit-box-1" href="x">\n<span>b.example </span></a><span class="webkit-box-1">c.example</span>'
