@@ -14,6 +14,8 @@ from ..functions.urls import bare_domain
 
 #: Brands, and letters of their tokens, that go to every task; a larger catalog is refused.
 MOST, LETTERS = 20_000, 4_000_000
+#: Rows of a batch whose texts are Python's at a time.
+AT_ONCE = 64
 
 
 def with_tokens(brands: DataFrame, least: int = 3) -> DataFrame:
@@ -78,7 +80,7 @@ def matches(brands: Catalog, domain: Column, text: Column) -> Column:
     def within(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         found = automaton(brands) if any(r[3] for r in brands.rows) else None
         for d, t in batches:
-            rows = zip(d.to_pylist(), t.to_pylist(), strict=True)
+            rows = (x for i in range(0, len(t), AT_ONCE) for x in zip(d.slice(i, AT_ONCE).to_pylist(), t.slice(i, AT_ONCE).to_pylist(), strict=True))
             yield pa.array([evidence(found, brands, x or "", y or "") if found is not None else [] for x, y in rows], kind)
 
     return within(squash(domain), squash(F.coalesce(text, F.lit(""))))

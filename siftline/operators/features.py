@@ -34,11 +34,15 @@ def content_features() -> dict[str, Column]:
 
 
 def features(seeds: DataFrame, content: DataFrame, catalog: B.Catalog) -> DataFrame:
-    """seeds left-joined with the content of their domains; content has one row for each domain."""
+    """seeds left-joined with the content of their domains; content has one row for each domain. Brands are looked for once in
+    each domain's text, before it goes to every seed of the domain."""
     own = content.select("domain", "title", "meta_description", "text", "forms_count", "has_password_field", "external_links", "links_to_domains", "method", "fetched_at", F.col("file").alias("content_source_file"))
-    df = seeds.select("record_id", "url", "domain", "label", "source").join(own, "domain", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    own = seeds.select("domain").distinct().join(own, "domain", "left").withColumn("text", F.coalesce("text", F.lit("")))
     read = F.concat_ws(" ", "text", F.coalesce("title", F.lit("")))
-    return df.select("record_id", "url", "domain", "label", "source", *(c.alias(k) for k, c in url_features(F.col("domain"), F.col("url")).items()), B.matches(catalog, F.col("domain"), read).alias("brand_matches"), F.length("text").alias("text_length"), "text", "content_source_file", *(c.alias(k) for k, c in content_features().items()))
+    own = own.withColumn("found", B.matches(catalog, F.col("domain"), read))
+    df = seeds.select("record_id", "url", "domain", "label", "source").join(own, "domain", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    none = F.array().cast(own.schema["found"].dataType)
+    return df.select("record_id", "url", "domain", "label", "source", *(c.alias(k) for k, c in url_features(F.col("domain"), F.col("url")).items()), F.coalesce("found", none).alias("brand_matches"), F.length("text").alias("text_length"), "text", "content_source_file", *(c.alias(k) for k, c in content_features().items()))
 
 
 def feature_stats(rows: DataFrame) -> DataFrame:

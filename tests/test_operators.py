@@ -194,6 +194,30 @@ def test_seed_and_features(spark):
     assert tuple(seed.seed_stats(spark.createDataFrame(rows, "record_id string, url string, final_url string, domain string, label int, source string, source_ref string, html_path string, screenshot_path string, observed_at string, evidence array<string>"), content).first()) == (7, 5, 2, 2)
 
 
+def test_brands_are_read_once_a_domain(spark):
+    """A domain's text goes to Python once, however many seeds share it; seeds without content or domain keep their rows."""
+    pages = spark.createDataFrame([("a.example", "acme pay " * 50), ("b.example", "none"), ("far.example", "zed")], "domain string, text string")
+    pages = pages.selectExpr("*", "'T' title", "cast(null as string) meta_description", "1 forms_count", "false has_password_field", "array('l') external_links", "array('m') links_to_domains", "'direct' method", "'now' fetched_at", "'f' file")
+    seeds = spark.range(1000).selectExpr("cast(id as string) record_id", "'http://u/' url", "case id % 4 when 0 then 'b.example' when 1 then 'my-acme.example' when 2 then if(id = 2, null, 'a.example') else 'a.example' end domain", "1 label", "'s' source")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = features.features(seeds, pages, brands.catalog(catalog(spark)))
+        rows = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    read, plans = 0, [out._jdf.queryExecution().executedPlan()]
+    while plans:
+        p = plans.pop()
+        plans += [p.children().apply(i) for i in range(p.children().size())]
+        if "Python" in p.nodeName():
+            read += p.metrics().apply("pythonNumRowsReceived").value()
+    assert 0 < read <= 4
+    told = {(r.domain, r.text_length, "; ".join(e for m in r.brand_matches for e in m.evidence)) for r in rows}
+    in_text = "text contains brand token 'acme'; text contains brand token 'acmepay'"
+    assert told == {(None, 0, ""), ("a.example", 450, in_text), ("b.example", 4, ""), ("my-acme.example", 0, "domain contains brand token 'acme'")}
+    assert len({r.record_id for r in rows}) == len(rows) == 1000 and sum(r.domain == "a.example" for r in rows) == 499
+
+
 def test_extraction(spark):
     df = spark.createDataFrame([("u", "<p>Some words here</p>", None, "direct", "now", False), ("v", None, "black", "failed", "now", False), ("w", "x", None, None, None, True)], "url string, html string, source string, method string, fetched_at string, bad boolean")
     got = {r.url: r for r in extraction.extracted(df).collect()}
